@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import format_duplicates, history, names, survivorship
+from . import abuse, canonical, contamination, format_duplicates, history, markup, mixing, names, survivorship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,50 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeated_rows(_table(spark, sf_dir, "relevance_screening"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.marked_fields(_table(spark, sf_dir, "relevance_screening"))
+
+
+def p6_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.cleaned(markup.record_texts(_table(spark, sf_dir, "relevance_screening")), ["record_sequence", "field_name"])
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.mapped_species(_table(spark, sf_dir, "build_dashboard"), _table(spark, sf_dir, "species_dictionary"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[1]
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.abusive_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p4_found": p4_found,
+    "p6_found": p6_found,
+    "p6_cleaned": p6_cleaned,
+    "p7_found": p7_found,
+    "p8_found": p8_found,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_rates": p10_rates,
 }
 ORACLES: dict[str, str] = {}
