@@ -7,9 +7,9 @@ document; with the scores' distribution over the corpus (extreme-value statistic
 Altschul: the lambda for which the mean of exp(lambda * score) is 1) each becomes an expected
 number of such segments by chance, and a document is reported when that number is small.
 
-Training: ``labels`` names up to ``MOST_LABELS`` documents, abusive ones first; the first model
-takes the labelled documents whole, the second only their best segments. Counts of ordinary text
-are over all documents.
+Training: ``labels`` names abusive documents, of which up to ``MOST_LABELS`` are read; the first
+model takes them whole, the next ones the segments that the model before finds in all documents.
+Counts of ordinary text are over all documents.
 
 Disguises are undone token by token: look-alike signs, letters spread by spaces or hyphens,
 stretched letters, masks of asterisks, and one-letter misspellings of words that count.
@@ -33,13 +33,22 @@ from pyspark.sql import functions as F
 #: Labelled documents used at most for training; they are read into the driver.
 MOST_LABELS = 20_000
 #: Assumed abusive occurrences of a listed word, per list.
-ASSUMED = {"strong": 12.0, "weak": 2.0}
-#: Total weight of the prior, in tokens.
+ASSUMED = {"strong": 24.0, "weak": 8.0}
+#: Total weight of the prior of the first model, in tokens, and of each word's in the next ones.
 PRIOR = 2_000.0
-#: Added to every token so that ordinary text scores below zero on average.
-DRIFT = -0.45
+SMOOTH = 1.0
+#: Score of words without evidence, and the least and greatest score of any word.
+DRIFT = -0.6
+LOWEST, HIGHEST = -2.0, 3.5
+#: Added to the log-odds: what the segments found so far miss makes words look more ordinary.
+LIFT = 1.5
+#: Words of this share of all tokens are common: never taken for a misspelling of another.
+COMMON_SHARE = 2e-5
+#: Passes over the corpus after the first model, and words of a model at most.
+ROUNDS = 3
+MOST_WORDS = 50_000
 #: A document is reported if its best segment scores this much and is expected this rarely.
-LEAST_SCORE = 6.0
+LEAST_SCORE = 5.0
 MOST_EXPECTED = 1e-2
 
 #: Words that abuse, threaten, demean or are sexually explicit.
@@ -98,8 +107,8 @@ def raw_tokens(text: str) -> list[str]:
 class Model:
     """Scores of words per language and the tables that undo disguises."""
 
-    def __init__(self, scores: dict[str, dict[str, float]], lam: dict[str, float], k: float = 0.1):
-        self.scores, self.lam, self.k = scores, lam, k
+    def __init__(self, scores: dict[str, dict[str, float]], lam: dict[str, float], common: dict[str, frozenset[str]], ordinary: float = DRIFT, k: float = 0.1):
+        self.scores, self.lam, self.common, self.ordinary, self.k = scores, lam, common, ordinary, k
         self.masks: dict[str, dict[tuple[str, str, int], str]] = {}
         self.near: dict[str, dict[str, str]] = {}
         for lang, table in scores.items():
@@ -117,6 +126,8 @@ class Model:
         table = self.scores[lang]
         if token in table:
             return token
+        if token in self.common[lang]:
+            return None  # an ordinary word is no disguise
         if "*" in token and len(token) >= 3:
             hit = self.masks[lang].get((token[0], token[-1], len(token)))
             if hit:
@@ -162,7 +173,7 @@ class Model:
             s = cache.get(token)
             if s is None:
                 word = self.known(token, lang)
-                s = cache[token] = table.get(word, 0.0) + DRIFT if word else DRIFT
+                s = cache[token] = table[word] if word else self.ordinary if token in self.common[lang] else DRIFT
             if running <= 0:
                 if best[0] > 0:
                     found.append(best)
@@ -188,66 +199,119 @@ class Model:
         return s, e, len(good)
 
 
-def _counting(candidates: frozenset[str]):
+def _counting(model: Model | None, candidates: frozenset[str]):
+    """Per batch and word: occurrences, and those inside segments that count as abusive."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: Counter = Counter()
+            sums: dict[tuple[str, str], list[int]] = {}
             for text in batch.column("text").to_pylist():
-                tokens = raw_tokens(text)
-                lang = language(tokens)
-                sums[(lang, "")] += len(tokens)
-                for t in tokens:
-                    if t in candidates:
-                        sums[(lang, t)] += 1
+                if model is None:
+                    tokens, found = raw_tokens(text), []
+                    lang = language(tokens)
+                else:
+                    lang, found, tokens = model.segments(text)
+                inside = {i for s, a, b in found if s >= LEAST_SCORE for i in range(a, b)}
+                sums.setdefault((lang, ""), [0, 0])[0] += len(tokens)
+                sums[(lang, "")][1] += len(inside)
+                for i, t in enumerate(tokens):
+                    word = t if model is None else model.known(t, lang) or t
+                    cell = sums.setdefault((lang, word), [0, 0])
+                    cell[0] += 1
+                    cell[1] += i in inside
             keys = list(sums)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([sums[k] for k in keys], pa.int64())], names=["lang", "word", "n"]
-            )
+                [
+                    pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
+                    pa.array([sums[k][0] for k in keys], pa.int64()), pa.array([sums[k][1] for k in keys], pa.int64()),
+                ],
+                names=["lang", "word", "n", "inside"],
+            )
 
     return run
 
 
-def corpus_counts(texts: DataFrame, candidates: frozenset[str]) -> dict[str, Counter]:
-    """Occurrences in all documents of the candidate words, per language; "" counts all tokens."""
-    parts = texts.select("text").where("text is not null").mapInArrow(_counting(candidates), "lang string, word string, n bigint")
-    out: dict[str, Counter] = {k: Counter() for k in STRONG}
-    for r in parts.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect():
-        out[r.lang][r.word] = r.n
-    return out
-
-
-def log_odds(abusive: dict[str, Counter], corpus: dict[str, Counter], documents: dict[str, Counter]) -> Model:
-    """Model from occurrences in abusive text and in the corpus.
+def corpus_counts(texts: DataFrame, model: Model | None, candidates: frozenset[str], most: int = MOST_WORDS) -> tuple[dict[str, Counter], dict[str, Counter]]:
+    """(occurrences, occurrences inside abusive segments) in all documents, per language.
 
-    documents: in how many labelled abusive documents each word occurs; a word of one document
-    only, unless listed, is held to be chance.
+    Without a model the candidates and the common words are counted (a share of all tokens, so at
+    most 1 / COMMON_SHARE words a language); with one, the candidates and the words that stand in
+    abusive segments more than once, the ``most`` frequent of them. "" counts all tokens.
+    """
+    parts = texts.select("text").where("text is not null").mapInArrow(_counting(model, candidates), "lang string, word string, n bigint, inside bigint")
+    sums = parts.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("inside").alias("inside"))
+    wanted = F.broadcast(texts.sparkSession.createDataFrame([(w,) for w in sorted(candidates | {""})], "word string").withColumn("wanted", F.lit(True)))
+    sums = sums.where("n >= 2 or inside > 0 or word = ''").join(wanted, "word", "left")
+    if model is None:
+        tokens = sum(r.n for r in sums.where("word = ''").collect())
+        sums = sums.where(F.col("wanted") | (F.col("n") >= max(5, COMMON_SHARE * tokens)))
+    else:
+        sums = sums.where(F.col("wanted") | (F.col("inside") > 1)).orderBy(F.desc("wanted"), F.desc("inside"), "lang", "word").limit(most)
+    total, within = {k: Counter() for k in STRONG}, {k: Counter() for k in STRONG}
+    for r in sums.collect():
+        total[r.lang][r.word], within[r.lang][r.word] = r.n, r.inside
+    return total, within
+
+
+def _listed(lang: str) -> dict[str, float]:
+    """Assumed abusive occurrences of the listed words of a language."""
+    strong = {w: ASSUMED["strong"] for w in plain(STRONG[lang]).split()}
+    return {w: ASSUMED["weak"] for w in plain(WEAK[lang]).split()} | strong
+
+
+def first_model(abusive: dict[str, Counter], corpus: dict[str, Counter], seen: dict[str, Counter], common: dict[str, frozenset[str]]) -> Model:
+    """Model from the labelled documents and the lists.
+
+    A word that is not listed scores only if it is in more abusive documents than chance explains:
+    at the corpus' rate, the Poisson probability of so many must be below one in fifty.
     """
     scores, lams = {}, {}
     for lang in STRONG:
-        total, own = max(corpus[lang][""], 1), sum(abusive[lang].values())
+        total, own, listed = max(corpus[lang][""], 1), max(sum(abusive[lang].values()), 1), _listed(lang)
         table: dict[str, float] = {}
-        strong, weak = set(plain(STRONG[lang]).split()), set(plain(WEAK[lang]).split())
-        assumed = sum(ASSUMED["strong"] for _ in strong) + sum(ASSUMED["weak"] for _ in weak)
-        for w in {w for w in corpus[lang] if w} | strong | weak | set(abusive[lang]):
+        for w in set(abusive[lang]) | set(listed):
             share = (corpus[lang][w] + 0.5) / (total + 0.5)
-            alpha = PRIOR * share
-            extra = ASSUMED["strong"] * (w in strong) + ASSUMED["weak"] * (w in weak)
             y = abusive[lang][w]
-            n1, n2 = own + PRIOR + assumed, total + PRIOR
-            up, down = y + alpha + extra, corpus[lang][w] + alpha
-            delta = math.log(up / (n1 - up)) - math.log(down / (n2 - down))
-            sigma = math.sqrt(1 / up + 1 / down) if down else math.sqrt(1 / up + 1)
-            if extra == 0 and (documents[lang][w] < 2 or delta > 0 and delta < 1.2 * math.sqrt(1 / up)):
-                delta = min(delta, 0.0)
-            table[w] = max(-1.5, min(4.5, delta)) if sigma < 3 or extra else 0.0
+            if w not in listed and not _beyond_chance(seen[lang][w], share * own):
+                continue
+            up, down = y + PRIOR * share + listed.get(w, 0.0), corpus[lang][w] + PRIOR * share
+            delta = math.log(up / (own + PRIOR)) - math.log(down / (total + PRIOR))
+            table[w] = max(0.0, min(HIGHEST if listed.get(w) == ASSUMED["strong"] else HIGHEST / 1.75, delta))
         scores[lang] = table
         lams[lang] = _lambda(table, corpus[lang], total)
-    return Model(scores, lams)
+    return Model(scores, lams, common)
+
+
+def _beyond_chance(n: int, mean: float) -> bool:
+    if n < 2:
+        return False
+    below, term = 0.0, math.exp(-mean)
+    for i in range(n):
+        below += term
+        term *= mean / (i + 1)
+    return 1.0 - below < 0.02
+
+
+def next_model(total: dict[str, Counter], within: dict[str, Counter], common: dict[str, frozenset[str]]) -> Model:
+    """Log-odds of standing in abusive rather than in other text, under the Dirichlet prior."""
+    scores, lams = {}, {}
+    for lang in STRONG:
+        tokens, inside, listed = max(total[lang][""], 1), within[lang][""], _listed(lang)
+        rate = (inside + 1.0) / (tokens + 2.0)
+        table: dict[str, float] = {}
+        for w in {w for w in total[lang] if w} | set(listed):
+            n, y = total[lang][w], within[lang][w]
+            up = y + SMOOTH * rate + (listed.get(w, 0.0) if n < 50 else 0.0) / 4
+            down = n - y + SMOOTH * (1.0 - rate)
+            table[w] = max(LOWEST, min(HIGHEST, math.log(up / down) + LIFT))
+        scores[lang] = table
+        lams[lang] = _lambda(table, total[lang], tokens)
+    return Model(scores, lams, common, LOWEST)
 
 
 def _lambda(table: dict[str, float], counts: Counter, total: int) -> float:
     """The positive root of mean(exp(lambda * score)) = 1 over the corpus' tokens."""
-    known = [(counts[w] / total, s + DRIFT) for w, s in table.items() if counts[w]]
+    known = [(counts[w] / total, s) for w, s in table.items() if counts[w]]
     rest = max(0.0, 1.0 - sum(p for p, _ in known))
 
     def excess(x: float) -> float:
@@ -265,29 +329,25 @@ def _lambda(table: dict[str, float], counts: Counter, total: int) -> float:
     return max(low, 0.2)
 
 
-def train(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Model:
-    """Model of the labelled documents against the counts of the whole corpus."""
+def train(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELS, rounds: int = ROUNDS) -> Model:
+    """Model of the labelled documents, then of the segments that it finds in the whole corpus."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = documents.join(known, "doc_id").where("text is not null").select("doc_id", "text", "toxic").orderBy(F.desc("toxic"), F.xxhash64("doc_id")).limit(most).collect()
-    bad = [raw_tokens(r.text) for r in sample if r.toxic == 1]
-    listed = {w for d in (STRONG, WEAK) for t in d.values() for w in plain(t).split()}
-    corpus = corpus_counts(documents, frozenset(listed | {t for tokens in bad for t in tokens}))
+    sample = (
+        documents.join(known.where("toxic = 1"), "doc_id").where("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id")).limit(most).collect()
+    )
+    bad = [raw_tokens(r.text) for r in sample]
+    listed = frozenset(w for lang in STRONG for w in _listed(lang))
+    total, _ = corpus_counts(documents, None, listed | {t for tokens in bad for t in tokens})
     whole, seen = {k: Counter() for k in STRONG}, {k: Counter() for k in STRONG}
     for tokens in bad:
         lang = language(tokens)
         whole[lang].update(tokens)
         seen[lang].update(set(tokens))
-    model = log_odds(whole, corpus, seen)
-    for _ in range(2):
-        inside, seen = {k: Counter() for k in STRONG}, {k: Counter() for k in STRONG}
-        for r in sample:
-            if r.toxic != 1:
-                continue
-            lang, found, tokens = model.segments(r.text)
-            words = [w for s, a, b in found if s >= LEAST_SCORE / 2 for t in tokens[a:b] if (w := model.known(t, lang))]
-            inside[lang].update(words)
-            seen[lang].update(set(words))
-        model = log_odds(inside, corpus, seen)
+    every = sum(total[lang][""] for lang in STRONG)
+    common = {lang: frozenset(w for w, n in total[lang].items() if n >= max(5, COMMON_SHARE * every)) for lang in STRONG}
+    model = first_model(whole, total, seen, common)
+    for _ in range(rounds):
+        model = next_model(*corpus_counts(documents, model, listed), common)
     return model
 
 
