@@ -66,10 +66,10 @@ STRONG = {
 WEAK = {
     "en": "you your yours yourself he his him she her they them their people women men migrants gays foreigners foreign folk race faith outsiders "
     "nobody everyone hate kill die drown beat bleeds hurt neck family ambulance thrown throat shut hell ugly lying dirty poison breed ruin lick "
-    "bleed stab shoot burn hang deserves deserve vanished human lower boys girls body clothes bed driven harbour disabled blood me my i am",
+    "bleed guts themselves having stab shoot burn hang deserves deserve vanished human lower boys girls body clothes bed driven harbour disabled blood me my i am",
     "es": "tu te eres ti ustedes ellos extranjeros mujeres gente raza inmigrantes nadie todos voy romper matar morir cara golpes echarlos odio "
     "verguenza persona quiere tus ojala",
-    "no": "du deg din ditt dere de dem kvinner innvandrere utlendinger folk rase ingen alle hater slå dø blod drukne gul blå jeg skal sjef kast",
+    "no": "du deg din ditt dere de dem kvinner innvandrere innflyttere innflytterne utlendinger løgner jages kastes folk rase ingen alle hater slå dø blod drukne gul blå jeg skal sjef kast",
 }
 _HINTS = {
     "en": frozenset("the of and this that with was were is by to in".split()),
