@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cleaning, links, packed
+from . import board, cleaning, links, packed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-for _module in (packed, cleaning, links):
+for _module in (packed, cleaning, links, board):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
