@@ -19,8 +19,10 @@ def tokens(text: Column) -> Column:
     """Lower-case words (letters and digits) without stopwords, and their bigrams joined by "_"."""
     bare = F.regexp_replace(F.lower(text), r"https?://\S+", " ")
     words = F.filter(F.split(bare, "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(STOPWORDS))
-    steps = F.when(F.size(words) >= 2, F.sequence(F.lit(1), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.concat(words, F.transform(steps, lambda i: F.concat(F.get(words, i - 1), F.lit("_"), F.get(words, i))))
+    # zip_with, not an index into the words: an outer expression inside a lambda runs once per element
+    after = F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1)))
+    pairs = F.zip_with(words, after, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit("_"), b)))
+    return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
 
 
 def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
