@@ -51,7 +51,7 @@ class Profile:
     qualifiers: frozenset[str] = field(default=QUALIFIERS)
 
 
-CODES = Profile((r"\s*(?:;|\|)\s*", r"\s*[\n\t]\s*", r"\s*,\s*", r"\s*[/&+→]\s*", r"\s*-\s*", r"\s+"))
+CODES = Profile((r"(?:\s*[;|,/&+→-])+\s*|\s+",))  # a code holds neither white space nor signs
 PATHS = Profile((r"\n", r"\t", r";;", r"\|", r";"), levels=3)
 NAMES = Profile(
     (r"[\n\t]", r";", r"\|", r"\s/\s|/", r"→", r"\s&\s", r"\s\+\s", r"\sand\s", r","), inverted=True

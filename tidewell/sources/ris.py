@@ -1,8 +1,9 @@
 """RIS exports: two readers and a writer.
 
-A file is split into records where a line ends one, by Spark's own line delimiter, so a large file
-is read in parallel; lines are put in order inside a record only. The record's number is its place
-in the file and comes from offsets per block of the input, not from a single sort.
+The strict reader takes the line that ends a record as the text source's delimiter, so one large
+file is read in parallel; lines are put in order inside a record only. A record's number is its
+place and comes from counts per block of the input, not from a single sort. The loose reader is for
+files typed or exported by hand and reads each as a whole.
 """
 
 from __future__ import annotations
@@ -20,10 +21,13 @@ TAGS = {
 
 
 def blocks(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, body): the text before each line "ER  -"; text after the last one is dropped."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
-    parts = F.split("value", r"(?m)^ER\s{2}-[^\n]*(?:\n|$)")
-    return whole.select("file", F.posexplode(F.slice(parts, F.lit(1), F.size(parts) - 1)).alias("block", "body"))
+    """(file, start, at, body): the text before each line "ER  -", with its block of the input and
+    its order there; what follows the last such line of a file is dropped."""
+    raw = spark.read.text(path, lineSep="\nER  -").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), F.replace("value", F.lit("\r")).alias("body")
+    )
+    last = raw.groupBy("file").agg(F.max(F.struct("start", "at")).alias("last"))
+    return raw.join(F.broadcast(last), "file").where(F.struct("start", "at") < F.col("last")).drop("last")  # one row per file
 
 
 def _fields(body: Column) -> Column:
@@ -33,17 +37,23 @@ def _fields(body: Column) -> Column:
     return F.transform(lines, lambda x: F.struct(F.substring(x, 1, 2).alias("tag"), F.trim(F.regexp_replace(x, r"^[A-Z0-9]{2}\s{2}-\s?", "")).alias("value")))
 
 
+def _values(tag: str) -> Column:
+    """Values of a tag joined by " | "; NULL where it is absent or empty."""
+    found = F.filter("fields", lambda f: f["tag"] == tag)
+    return F.nullif(F.array_join(F.transform(found, lambda f: f["value"]), " | "), F.lit(""))
+
+
 def read_ris(spark: SparkSession, path: str) -> DataFrame:
     """Parsed records: record_sequence from 1 per order of file and place, one column per field."""
     got = blocks(spark, path).withColumn("fields", _fields(F.col("body"))).where(F.size("fields") > 0)
-    pick = {n: F.nullif(F.array_join(F.transform(F.filter("fields", lambda f, tag=tag: f["tag"] == tag), lambda f: f["value"]), " | "), F.lit("")) for n, tag in TAGS.items()}
-    counts = got.groupBy("file").agg(F.count("*").alias("n"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    offsets = counts.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("file").orderBy("block"))
-    rows = got.withColumns(pick).withColumn("at", inside).join(F.broadcast(offsets), "file")
+    pick = {n: _values(tag) for n, tag in TAGS.items()}
+    counts = got.groupBy("file", "start").agg(F.count("*").alias("n"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    offsets = counts.select("file", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("file", "start").orderBy("at"))
+    rows = got.withColumns(pick).withColumn("place", inside).join(offsets, ["file", "start"])
     names = [n for n in TAGS if n != "ti"]
-    return rows.select((F.col("offset") + F.col("at")).cast("int").alias("record_sequence"), F.coalesce("ti", "short_title").alias("title"), *names, F.size("fields").alias("raw_field_count"))
+    return rows.select((F.col("offset") + F.col("place")).cast("int").alias("record_sequence"), F.coalesce("ti", "short_title").alias("title"), *names, F.size("fields").alias("raw_field_count"))
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
