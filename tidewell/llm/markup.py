@@ -234,7 +234,7 @@ def extract(text: str, lost: frozenset[str] = frozenset(), shared: str = "md") -
             edits.append((c.start, c.stop, html.unescape(raw)))
             continue
         if c.path.startswith("html"):
-            if re.fullmatch(r"h\d", last) or last == "title" and len(c.path.split(">")) > 2:
+            if re.fullmatch(r"h\d", last) or c.path.endswith("jats:title"):
                 before, after = "\n# ", "\n"
             elif last == "li":
                 before, after = "\n- ", ""
