@@ -10,7 +10,8 @@ authors, into the words of a body and its place) and linked where
   given names or initials that contradict each other rule the pair out.
 
 Spellings with less information (no middle name, initials only) join an author only where exactly
-one fits, so a shared surname or an initial never brings two authors together.
+one fits, so a shared surname or an initial never brings two authors together. A plain given name
+that is used at least as often as any of its spellings with a middle initial gathers all of them.
 
 Defined results: NULL and empty cells and placeholders hold no names; a spelling that fits two
 authors stays alone; one spelling occurring many times is one spelling.
@@ -169,7 +170,9 @@ def compare(a: tuple[str, list[str]], b: tuple[str, list[str]], wa: float, wb: f
     family = _same_family(a[0], b[0])
     if not family or not a[1] or not b[1]:
         return 0.0, False
-    first = _same_given(a[1][0], b[1][0], family == 1.0)
+    first = _same_given(a[1][0], b[1][0], family == 1.0 or family >= 0.9 and min(len(a[0]), len(b[0])) >= 8)
+    if family < 1.0 and first == 0.9 and (min(len(a[1][0]), len(b[1][0])) < 5 or distance(a[1][0], b[1][0], 1) > 1):
+        first = 0.0
     if not first or family < 0.85 and first < 1.0:
         return 0.0, False
     extra = list(zip(a[1][1:], b[1][1:]))
@@ -344,12 +347,19 @@ def linked_names(authors: DataFrame, column: str = "authors") -> DataFrame:
     for less in (2, 1, 0):
         own = current.select(F.col("name").alias("a"), F.col("label").alias("from"))
         its = current.select(F.col("name").alias("b"), F.col("label").alias("to"))
-        step = both.where(F.col("la") == less).join(own, "a").join(its, "b").where("from <> to")
-        fits = step.groupBy("from").agg(F.min("to").alias("to"), F.max("to").alias("last"), F.max("lb").alias("more"))
-        moves = fits.where("to = last").select(F.col("from").alias("label"), "to")
-        current = current.join(moves, "label", "left").select("name", F.coalesce("to", "label").alias("label"))
-        if less:
-            current = cut(current)
+        step = both.where(F.col("la") == less).join(own, "a").join(its, "b").where("from <> to").select("from", "to").distinct()
+        if less == 2:
+            # Several middle initials added to one plain name, which is the usual spelling, are all its.
+            uses = current.join(names, "name").groupBy("label").agg(F.sum("uses").alias("uses"))
+            step = step.join(uses.toDF("from", "own"), "from").join(uses.toDF("to", "its"), "to")
+        else:
+            step = step.withColumn("own", F.lit(0)).withColumn("its", F.lit(1))
+        step = cut(step)
+        fits = step.groupBy("from").agg(F.min("to").alias("to"), F.count("*").alias("n"), (F.max("its") <= F.first("own")).alias("usual"))
+        single = fits.where("n = 1").select(F.col("from").alias("label"), "to")
+        gathered = step.join(fits.where("n > 1 and usual").select("from"), "from").groupBy(F.col("to").alias("label")).agg(F.min("from").alias("to"))
+        moves = single.unionByName(gathered)
+        current = cut(current.join(moves, "label", "left").select("name", F.coalesce("to", "label").alias("label")))
     least = current.groupBy("label").agg(F.min("name").alias("author"), F.count("*").alias("n")).where("n > 1")
     return current.join(least, "label").select("name", "author")
 
