@@ -42,6 +42,8 @@ DRIFT = -0.6
 LOWEST, HIGHEST = -2.0, 3.5
 #: Added to the log-odds: what the segments found so far miss makes words look more ordinary.
 LIFT = 1.5
+#: How many times its expected number of labelled documents an unlisted word must be in.
+LEAST_LIFT = 6.0
 #: Words of this share of all tokens are common: never taken for a misspelling of another.
 COMMON_SHARE = 2e-5
 #: Passes over the corpus after the first model, and words of a model at most.
@@ -263,7 +265,8 @@ def first_model(abusive: dict[str, Counter], corpus: dict[str, Counter], seen: d
     """Model from the labelled documents and the lists.
 
     A word that is not listed scores only if it is in more abusive documents than chance explains:
-    at the corpus' rate, the Poisson probability of so many must be below one in fifty.
+    at the corpus' rate, the Poisson probability of so many must be below one in fifty, and they
+    must be LEAST_LIFT times as many as expected (ordinary words next to abuse are not).
     """
     scores, lams = {}, {}
     for lang in STRONG:
@@ -283,7 +286,7 @@ def first_model(abusive: dict[str, Counter], corpus: dict[str, Counter], seen: d
 
 
 def _beyond_chance(n: int, mean: float) -> bool:
-    if n < 2:
+    if n < 2 or n < LEAST_LIFT * mean:
         return False
     below, term = 0.0, math.exp(-mean)
     for i in range(n):
