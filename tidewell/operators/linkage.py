@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..session import spread
 
 #: Least title similarity of a fuzzy match, of a probable one, and of an equal DOI.
 FUZZY, PROBABLE, SAME_DOI = 0.965, 0.985, 0.90
@@ -70,30 +72,26 @@ def _similar(least: float):
                 reach = (common / np.maximum(size[0][i], 1) + common / np.maximum(size[1][j], 1) + 1) / 3
                 batch = batch.filter(pa.array(reach >= jaro - 1e-9))
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array([jaro_winkler(x, y) for x, y in zip(a, b)], pa.float64())], names=["a", "b", "similarity"]
-            )
+            values = pa.array([jaro_winkler(x, y) for x, y in zip(a, b)], pa.float64())
+            kept = [(n, batch.column(n)) for n in batch.schema.names if n not in ("a", "b")]
+            out = pa.RecordBatch.from_arrays([*(c for _, c in kept), values], names=[*(n for n, _ in kept), "similarity"])
+            yield out.filter(pa.compute.greater_equal(values, least))
 
     return run
 
 
-def title_similarities(pairs: DataFrame, least: float) -> DataFrame:
-    """(a, b, similarity) of distinct title pairs with similarity >= least.
+def with_similarity(pairs: DataFrame, least: float) -> DataFrame:
+    """Pairs whose title keys a and b have similarity >= least, with it in the place of the keys.
 
-    Lengths rule a pair out before Python: with a common prefix of at most four the Jaro similarity
-    J must reach (least - 0.4) / 0.6, so the shorter title has at least 3 J - 2 of the longer one's
-    length. Both this bound and the one on letters are exact.
+    Nothing is shuffled: pairs go from the join straight into Arrow batches. Lengths rule a pair
+    out before: with a common prefix of at most four the Jaro similarity J must reach
+    (least - 0.4) / 0.6, so the shorter title has at least 3 J - 2 of the longer one's length. Both
+    this bound and the one on letters are exact.
     """
-    jaro = (least - 0.4) / 0.6
-    share = max(0.0, 3 * jaro - 2)
+    share = max(0.0, 3 * (least - 0.4) / 0.6 - 2)
     long, short = F.greatest(F.length("a"), F.length("b")), F.least(F.length("a"), F.length("b"))
-    worth = pairs.select("a", "b").distinct().where((short >= share * long) & (short > 0))
-    return worth.mapInArrow(_similar(least), "a string, b string, similarity double").where(F.col("similarity") >= least)
-
-
-def title_pairs(left: DataFrame, right: DataFrame, on: list[Column]) -> DataFrame:
-    """Distinct (a, b) title keys of two sides joined on block keys."""
-    return left.join(right, on).select(F.col("l.title_key").alias("a"), F.col("r.title_key").alias("b")).distinct()
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields if f.name not in ("a", "b")]
+    return pairs.where(short >= share * long).mapInArrow(_similar(least), ", ".join([*kept, "similarity double"]))
 
 
 #: The seven passes: name, status and the fields that have to agree.
@@ -174,8 +172,7 @@ def link_new_records(new: DataFrame, master: DataFrame, row: str = "record_seque
 
     Priority: equal title (1), equal DOI with alike title (2), fuzzy probable (3) and possible (4),
     equal DOI with a blank title (5), equal DOI with another title (6); then the more alike, then
-    the earlier master row. Records with an equal title are not matched fuzzily. Similarities are
-    computed once per pair of different titles.
+    the earlier master row. Records with an equal title are not matched fuzzily.
     """
     n, m = with_keys(new, row), with_keys(master, row)
     n_, m_ = n.alias("l"), m.alias("r")
@@ -185,23 +182,20 @@ def link_new_records(new: DataFrame, master: DataFrame, row: str = "record_seque
     exact = n_.where("title_key != ''").join(earliest, F.col("l.title_key") == F.col("r.title_key")).select(*pick, F.lit(1).alias("priority"), F.lit(1.0).alias("similarity"), F.lit("exact normalised title").alias("basis"))
     titled = m.where("doi_key is not null").groupBy("doi_key", "title_key").agg(F.min("row").alias("row"), F.min_by("id", "row").alias("id")).alias("r")
     by_doi = n_.where("doi_key is not null").join(titled, F.col("l.doi_key") == F.col("r.doi_key")).select(*pick, F.col("l.title_key").alias("a"), F.col("r.title_key").alias("b"))
-    doi_sims = title_similarities(by_doi, 0.0)
-    doi = by_doi.join(doi_sims, ["a", "b"], "left").select(
-        "row", "master_row", "match_id",
-        F.when((F.col("a") == "") | (F.col("b") == ""), 5).when(F.coalesce("similarity", F.lit(0.0)) >= SAME_DOI, 2).otherwise(6).alias("priority"),
-        F.coalesce("similarity", F.lit(0.0)).alias("similarity"), F.lit("doi").alias("basis"),
+    doi = with_similarity(by_doi.withColumn("blank", (F.col("a") == "") | (F.col("b") == "")), 0.0).select(
+        "row", "master_row", "match_id", F.when(F.col("blank"), 5).when(F.col("similarity") >= SAME_DOI, 2).otherwise(6).alias("priority"),
+        "similarity", F.lit("doi").alias("basis"),
     )
     open_ = n.where("title_key != ''").join(exact.select("row").distinct(), "row", "left_anti")
+    # Pairs are many times the rows: both sides use every core however few files or rows they have.
+    open_, titled_master = spread(open_, "row"), spread(m.where("title_key != ''"), "row")
     blocks = None
     for order, (basis, key) in enumerate(BLOCKS):
         filled = F.col(f"l.{key}").isNotNull() & (F.col(f"l.{key}").cast("string") != "")
-        part = open_.alias("l").where(filled).join(m.where("title_key != ''").alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
-        short, long = F.least(F.length("l.title_key"), F.length("r.title_key")), F.greatest(F.length("l.title_key"), F.length("r.title_key"))
-        part = part.where(short >= (3 * (FUZZY - 0.4) / 0.6 - 2) * long)
+        part = open_.alias("l").where(filled).join(titled_master.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
         part = part.select(*pick, F.lit(order).alias("block"), F.col("l.title_key").alias("a"), F.col("r.title_key").alias("b"))
         blocks = part if blocks is None else blocks.unionByName(part)
-    sims = title_similarities(blocks, FUZZY)
-    met = blocks.join(sims, ["a", "b"]).groupBy("row", "match_id").agg(F.min_by(F.struct("block", "master_row", "similarity"), F.struct("block", "master_row")).alias("s"))
+    met = with_similarity(blocks, FUZZY).groupBy("row", "match_id").agg(F.min_by(F.struct("block", "master_row", "similarity"), F.struct("block", "master_row")).alias("s"))
     probable = (F.col("s.similarity") >= PROBABLE) & (F.col("s.block") != 0)
     names = F.array(*[F.lit(b[0]) for b in BLOCKS])
     fuzzy = met.select("row", F.col("s.master_row").alias("master_row"), "match_id", F.when(probable, 3).otherwise(4).alias("priority"), F.col("s.similarity").alias("similarity"), F.get(names, F.col("s.block")).alias("basis"))
