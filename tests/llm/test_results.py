@@ -124,6 +124,25 @@ def test_index_finds_what_one_pass_finds(spark, tmp_path):
     assert one == two and len(one) == 30
 
 
+def test_index_tells_copies_of_a_batch_and_rows_without_title(spark, tmp_path):
+    title, doi = "Oxygen in deep moorings of Place7vik and its spleen sensor", "10.1234/t"
+    old = screening(spark, [(1, None, title, None, None, None, 0, None), (2, None, None, None, doi, None, 0, None)])
+    new = screening(spark, [(11, None, title, None, None, None, 1, None), (12, None, title.upper(), None, None, None, 1, None), (13, None, None, None, doi, None, 1, None), (14, None, None, None, "10.1234/u", None, 1, None)])
+    history.HistoryIndex(spark, str(tmp_path / "index"), buckets=4).append(old)
+    index = history.HistoryIndex(spark, str(tmp_path / "index"), buckets=4)
+    got = {(r.accepted_sequence, r.new_sequence) for r in index.check(new).collect()}
+    assert got == {(1, 11), (1, 12), (2, 13)} == {tuple(r) for r in history.repeated_rows(old.union(new)).collect()}
+
+
+def test_pieces_meet_in_buckets_without_exchange(spark, tmp_path):
+    table = history.Bucketed(spark, str(tmp_path / "pieces"), "part", history._PIECES, 4)
+    for at in (0, 50):
+        table.append(spark.range(at, at + 100).select((F.col("id") % 70).alias("part"), F.col("id").alias("seq"), F.lit("d").alias("doi"), F.lit(True).alias("few")))
+    left, right = table.read().hint("merge"), table.read().hint("merge")
+    plan = left.join(right.select("part"), "part", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 # 6. markup
 
 

@@ -2,12 +2,12 @@
 
 Accepted records leave two kinds of hashes: one of the whole normalised content (title and DOI)
 and one for each piece of the title, a piece being three of its content words as picked by fixed
-position patterns. Both tables are bucketed by their hash, so a new batch meets history bucket by
-bucket: the content hash finds full copies, the share of common pieces and an alignment of the
-words find near copies. Then the batch's hashes are appended.
+position patterns. Both are stored as tables bucketed by their hash, so a new batch meets history
+bucket by bucket, without a shuffle of history: the content hash finds full copies, common pieces
+and an alignment of the words find near copies. Then the batch's hashes are appended.
 
-``publications`` does this for all batches of a table in one pass (each pair of batches meets in
-the bucket of a hash); ``HistoryIndex`` keeps the tables on disk between batches.
+``publications`` writes the two tables once for all batches of a table and lets every pair of
+batches meet in the bucket of a hash; ``HistoryIndex`` keeps the tables between batches.
 
 The same publication: word by word equal titles after the wording that editors vary is levelled
 (case, punctuation, prepositions, "a note on", "a field trial", a few synonyms), up to
@@ -20,7 +20,9 @@ nothing; NULL batches count as batch 0.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -194,12 +196,12 @@ def _describe(common: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, marks, parts, whole = [], [], [], []
-            for title in batch.column("title").to_pylist():
+            for title, doi in zip(batch.column("title").to_pylist(), batch.column("doi").to_pylist()):
                 w, m = features(title)
                 words.append(" ".join(w))
                 marks.append(" ".join(m))
                 parts.append(pieces(w, m, common) if title else [])
-                whole.append(_hash(" ".join(x for x in w if x not in FRAME_WORDS) + "|" + " ".join(m)) if title else None)
+                whole.append(_hash(" ".join(x for x in w if x not in FRAME_WORDS) + "|" + " ".join(m) if title else f"\x1f{doi}"))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doi", "seq", "rid")), pa.array(words, pa.string()), pa.array(marks, pa.string()), pa.array(parts, pa.list_(pa.int64())), pa.array(whole, pa.int64())],
                 names=["doi", "seq", "rid", "words", "marks", "parts", "whole"],
@@ -211,6 +213,14 @@ def _describe(common: frozenset[str]):
 _DESCRIBED = "doi string, seq bigint, rid string, words string, marks string, parts array<bigint>, whole bigint"
 
 
+_PIECES = "part bigint, seq bigint, doi string, few boolean"
+
+
+def pieces_of(told: DataFrame) -> DataFrame:
+    """The rows of the piece table."""
+    return told.select(F.explode("parts").alias("part"), "seq", "doi", (F.size("parts") <= 9).alias("few"))
+
+
 def describe(titles: DataFrame, common: frozenset[str]) -> DataFrame:
     """Words, markers, piece hashes and the hash of the whole content of each title."""
     return titles.select("title", "doi", "seq", "rid").mapInArrow(_describe(common), _DESCRIBED)
@@ -250,12 +260,53 @@ def described(rows: DataFrame) -> DataFrame:
     return exact.agg(F.min("seq").alias("seq"), F.min("title").alias("title"), F.min("rid").alias("rid")).drop("k")
 
 
+class Bucketed:
+    """A table of the shared folder, bucketed by ``key``; joins by the key need no exchange.
+
+    The catalog of a session only holds its description, which is declared anew over the files of
+    an earlier session.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, schema: str, buckets: int):
+        self.spark, self.path, self.key, self.schema, self.buckets = spark, path, key, schema, buckets
+        self.name = "tidewell_" + hashlib.md5(path.encode()).hexdigest()
+
+    def _folder(self):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def exists(self) -> bool:
+        files, where = self._folder()
+        return files.exists(where)
+
+    def _declare(self) -> None:
+        if not self.spark.catalog.tableExists(self.name):
+            self.spark.sql(f"CREATE TABLE {self.name} ({self.schema}) USING parquet CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+
+    def read(self) -> DataFrame:
+        self._declare()
+        return self.spark.table(self.name)
+
+    def append(self, df: DataFrame) -> None:
+        """One file a bucket: the shuffle before the write hashes as the buckets do."""
+        self._declare()
+        columns = [c.split()[0] for c in self.schema.split(", ")]
+        out = df.select(*columns).repartition(self.buckets, self.key).write.mode("append").format("parquet")
+        out.bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(self.name)
+        self.spark.catalog.refreshTable(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        files, where = self._folder()
+        files.delete(where, True)
+
+
 def near_pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs (a < b by sequence) whose rows share a piece, and whose titles align."""
-    few = F.size("parts") <= 9
+    """Pairs (a < b by sequence) of rows of the piece table that share a piece, bucket by bucket."""
+    met = right.join(left.select("part"), "part", "left_semi")
     pairs = (
-        left.select(F.explode("parts").alias("part"), few.alias("fx"), F.col("seq").alias("x"), *on)
-        .join(right.select(F.explode("parts").alias("part"), few.alias("fy"), F.col("seq").alias("y"), *on), ["part", *on])
+        left.select("part", F.col("few").alias("fx"), F.col("seq").alias("x"), *on)
+        .join(met.select("part", F.col("few").alias("fy"), F.col("seq").alias("y"), *on), ["part", *on])
         .where("x <> y")
         .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .agg(F.count("*").alias("n"), F.max(F.col("fx") | F.col("fy")).alias("few"))
@@ -264,6 +315,11 @@ def near_pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return pairs.where("few or n >= 2").select("a", "b")
 
 
+def buckets_for(rows: int) -> int:
+    """A power of two by which a bucket has some 50,000 titles, at least 8."""
+    return max(8, 1 << (rows // 50_000).bit_length())
+
+
 def publications(rows: DataFrame) -> DataFrame:
     """(seq, batch, publication): publication is the least sequence of all rows of the publication."""
     key = F.concat(F.coalesce(canonical_text(F.col("title")), F.lit("")), F.lit("\x1f"), F.coalesce("doi", F.lit("")))
@@ -271,14 +327,18 @@ def publications(rows: DataFrame) -> DataFrame:
     copies = cut(
         exact.groupBy("k", "doi").agg(F.min("seq").alias("seq"), F.min("title").alias("title"), F.min("rid").alias("rid"))
     )
-    told = describe(copies, common_words(copies))
-    # Full copies by content hash: within a DOI, and among rows without one.
-    nodes = cut(told.withColumn("node", F.min("seq").over(_by("whole", F.coalesce("doi", F.lit(""))))))
+    spark, root, buckets = rows.sparkSession, f"{shared_dir(rows.sparkSession).rstrip('/')}/history-{uuid.uuid4().hex}", buckets_for(copies.count())
+    content, hashes = Bucketed(spark, root + "/content", "whole", _DESCRIBED, buckets), Bucketed(spark, root + "/pieces", "part", _PIECES, buckets)
+    content.append(describe(copies, common_words(copies)))
+    # Full copies by content hash, bucket by bucket: within a DOI, and among rows without one.
+    nodes = cut(content.read().withColumn("node", F.min("seq").over(_by("whole", F.coalesce("doi", F.lit(""))))))
+    content.drop()
     heads = nodes.where("seq = node").select("seq", "doi", "rid", "words", "marks", "parts")
-    known, unknown = heads.where("doi is not null"), heads.where("doi is null and size(parts) > 0")
+    hashes.append(pieces_of(heads))
+    known, unknown = hashes.read().where("doi is not null"), hashes.read().where("doi is null")
     words = heads.select("seq", "words")
-    # Only DOIs and pieces that occur more than once can link anything.
-    several = known.groupBy("doi").agg(F.count("*").alias("n")).where("n > 1").select("doi")
+    # Only DOIs that occur more than once can link anything.
+    several = heads.where("doi is not null").groupBy("doi").agg(F.count("*").alias("n")).where("n > 1").select("doi")
     shared = known.join(several, "doi", "left_semi")
     candidates = near_pairs(shared, shared, ["doi"])
     loose = near_pairs(unknown, unknown, [])
@@ -295,6 +355,7 @@ def publications(rows: DataFrame) -> DataFrame:
     placed = cut(placed.select("seq", "doi", F.coalesce("label", "seq").alias("label")))
     # A group without DOI belongs to the earliest publication with a DOI whose title it repeats.
     mixed = cut(_aligned(near_pairs(unknown, known, []), words))
+    hashes.drop()
     side = placed.select("seq", F.col("doi").isNull().alias("bare"), "label")
     joined = (
         mixed.join(side.select(F.col("seq").alias("a"), F.col("bare").alias("bare_a"), F.col("label").alias("la")), "a")
@@ -338,50 +399,58 @@ class HistoryIndex:
     """The hash tables of all accepted records, bucketed on disk.
 
     ``root`` is a folder in the shared directory; ``buckets`` stays the same for the life of the
-    index. ``check`` reads only the buckets' columns of hashes and the words of candidates, never
-    the history's records.
+    index. ``check`` reads history in its buckets and never the history's records.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 64):
-        self.spark, self.buckets = spark, buckets
-        self.root = (root or shared_dir(spark) + "/history").rstrip("/")
-        self.nodes, self.parts = f"{self.root}/nodes", f"{self.root}/parts"
-
-    def _exists(self, path: str) -> bool:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
-
-    def _bucket(self, key: str) -> Column:
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int").alias("bucket")
+        self.spark, self.root = spark, (root or shared_dir(spark) + "/history").rstrip("/")
+        node = "whole bigint, seq bigint, doi string, words string, publication bigint"
+        self.content = Bucketed(spark, self.root + "/content", "whole", node, buckets)
+        self.nodes = Bucketed(spark, self.root + "/nodes", "seq", node, buckets)
+        self.hashes = Bucketed(spark, self.root + "/pieces", "part", _PIECES, buckets)
 
     def common(self, batch: DataFrame) -> frozenset[str]:
         """Common words, fixed by the first batch for the life of the index."""
         path = f"{self.root}/common"
-        if not self._exists(path):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where):
             words = sorted(common_words(normalised(batch)))
             self.spark.createDataFrame([(w,) for w in words], "w string").coalesce(1).write.parquet(path)
         return frozenset(r.w for r in self.spark.read.parquet(path).collect())
 
+    def _found(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(described rows, (seq, accepted) of those that repeat an accepted publication); a row
+        stands for its exact copies in the batch."""
+        new = cut(describe(described(normalised(batch)), self.common(batch)))
+        if not self.content.exists():
+            return new, new.where("false").select("seq", F.col("seq").alias("accepted"))
+        same_doi = "doi = old_doi or doi is null or old_doi is null"
+        # Full copies: the new content hashes against those of history.
+        old = self.content.read().select("whole", F.col("doi").alias("old_doi"), F.col("publication").alias("accepted"))
+        copies = new.select("seq", "doi", "whole").join(old, "whole").where(same_doi).select("seq", "accepted")
+        # Near copies: history's pieces that the batch has too, then an alignment.
+        mine = new.select("seq", "doi", "words", F.explode("parts").alias("part"))
+        met = self.hashes.read().join(mine.select("part"), "part", "left_semi").select("part", F.col("seq").alias("old"), F.col("doi").alias("old_doi"))
+        pairs = mine.join(met, "part").where(same_doi).select("seq", "old", F.col("words").alias("wa")).distinct()
+        told = self.nodes.read().select(F.col("seq").alias("old"), F.col("words").alias("wb"), F.col("publication").alias("accepted"))
+        both = pairs.join(told, "old").select(F.col("seq").alias("a"), F.col("accepted").alias("b"), "wa", "wb")
+        near = both.mapInArrow(_verify, "a bigint, b bigint").toDF("seq", "accepted")
+        return new, copies.union(near).groupBy("seq").agg(F.min("accepted").alias("accepted"))
+
     def check(self, batch: DataFrame) -> DataFrame:
-        """(new_sequence, accepted_sequence) of the rows that repeat an accepted publication."""
-        new = describe(described(normalised(batch)), self.common(batch))
-        if not self._exists(self.nodes):
-            return new.where("false").select(F.col("seq").alias("new_sequence"), F.col("seq").alias("accepted_sequence"))
-        old = self.spark.read.parquet(self.parts).select("bucket", "part", F.col("seq").alias("old"), F.col("doi").alias("old_doi"))
-        told = self.spark.read.parquet(self.nodes).select(F.col("seq").alias("old"), F.col("words").alias("wb"))
-        rows = new.select("seq", "doi", "words", F.explode("parts").alias("part")).withColumn("bucket", self._bucket("part"))
-        pairs = (
-            rows.join(old, ["bucket", "part"])
-            .where("doi = old_doi or doi is null or old_doi is null")
-            .select("seq", "old", F.col("words").alias("wa"))
-            .distinct()
-        )
-        kept = pairs.join(told, "old").select(F.col("seq").alias("a"), F.col("old").alias("b"), "wa", "wb").mapInArrow(_verify, "a bigint, b bigint")
-        return kept.groupBy(F.col("a").alias("new_sequence")).agg(F.min("b").alias("accepted_sequence"))
+        """(new_sequence, accepted_sequence) of all rows that repeat an accepted publication."""
+        _, found = self._found(batch)
+        key = [canonical_text(F.col("title")).alias("k"), "doi", "seq"]
+        rows = normalised(batch).where("title is not null or doi is not null").select(*key)
+        heads = rows.groupBy("k", "doi").agg(F.min("seq").alias("head"))
+        same = F.col("r.k").eqNullSafe(F.col("h.k")) & F.col("r.doi").eqNullSafe(F.col("h.doi"))
+        member = rows.alias("r").join(heads.alias("h"), same).select("r.seq", "h.head")
+        return member.join(found.withColumnRenamed("seq", "head"), "head").select(F.col("seq").alias("new_sequence"), F.col("accepted").alias("accepted_sequence"))
 
     def append(self, batch: DataFrame) -> None:
-        """Adds the batch's hashes; call it after ``check``."""
-        new = cut(describe(described(normalised(batch)), self.common(batch)))
-        new.select("seq", "doi", "words", self._bucket("seq")).repartition("bucket").write.partitionBy("bucket").mode("append").parquet(self.nodes)
-        parts = new.select("seq", "doi", F.explode("parts").alias("part"))
-        parts.withColumn("bucket", self._bucket("part")).repartition("bucket").write.partitionBy("bucket").mode("append").parquet(self.parts)
+        """Adds the batch's hashes under the publications they repeat; call it after ``check``."""
+        new, found = self._found(batch)
+        new = cut(new.join(found, "seq", "left").withColumn("publication", F.coalesce("accepted", "seq")))
+        self.content.append(new)
+        self.nodes.append(new)
+        self.hashes.append(pieces_of(new))
