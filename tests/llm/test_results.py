@@ -137,12 +137,37 @@ def test_index_tells_copies_of_a_batch_and_rows_without_title(spark, tmp_path):
 def test_pieces_meet_in_buckets_without_exchange(spark, tmp_path):
     table = history.Bucketed(spark, str(tmp_path / "pieces"), "part", history._PIECES, 4)
     for at in (0, 50):
-        table.append(spark.range(at, at + 100).select((F.col("id") % 70).alias("part"), F.col("id").alias("seq"), F.lit("d").alias("doi"), F.lit(True).alias("few")))
+        table.append(spark.range(at, at + 100).select((F.col("id") % 70).alias("part"), F.col("id").alias("seq"), F.lit(1).cast("bigint").alias("doi")))
     left, right = table.read().hint("merge"), table.read().hint("merge")
     plan = left.join(right.select("part"), "part", "left_semi")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_titles_within_two_changes_share_a_piece():
+    def changed(words):
+        for i in range(len(words) + 1):
+            yield [*words[:i], f"inserted{i}of{len(words)}", *words[i:]]
+            if i < len(words):
+                yield [*words[:i], *words[i + 1 :]]
+                yield [*words[:i], f"replaced{i}of{len(words)}", *words[i + 1 :]]
+
+    for n in range(3, 13):
+        title = [f"content{i}" for i in range(n)]
+        for common in (frozenset(), frozenset(title[::3]), frozenset(title[1::2])):
+            own = set(history.pieces(title, [], common))
+            for one in changed(title):
+                for two in changed(one):
+                    # In short titles a left out word is no typo.
+                    if n >= 5 and len(two) >= 5 or len(two) == n == len(one):
+                        assert own & set(history.pieces(two, [], common)), (title, two, common)
+
+
+@pytest.mark.parametrize(("a", "b"), [("Salmon kidney", "Slamon kidny"), ("Mooring", "Moorign"), ("Kidney mooring plasma", "Kidny morring plasma")])
+def test_short_titles_with_typos(spark, a, b):
+    df = screening(spark, [(1, None, a, None, None, None, 0, None), (2, None, b, None, None, None, 1, None)])
+    assert [tuple(r) for r in history.repeated_rows(df).collect()] == [(1, 2)]
+
+
 # 6. markup
 
 

@@ -24,6 +24,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import combinations
 
 import pyarrow as pa
 import xxhash
@@ -49,7 +50,17 @@ MARKERS = frozenset(
     "i ii iii iv v vi vii viii ix x part reply comment correction corrigendum erratum addendum retraction first second third fourth fifth "
     "winter summer spring autumn season year".split()
 )
-PATTERNS = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 3, 4))
+#: Positions of the words of a piece, by the number of content words. Two titles whose words differ
+#: by at most two changes (replaced, inserted, left out) share a piece if the longer has five
+#: words or more: with nine, three of the equal words stand in a row; with fewer, three of them
+#: stand in one of these patterns in both titles.
+PATTERNS = {
+    5: ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 3, 4), (0, 2, 4)),
+    6: ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4)),
+    7: ((0, 1, 2), (0, 1, 3)),
+    8: ((0, 1, 2), (0, 1, 3)),
+    9: ((0, 1, 2),),
+}
 MOST_COST = 2.6
 #: No alignment within MOST_COST needs more changed characters than four times this, frames included.
 MOST_EDITS = 12
@@ -174,22 +185,34 @@ def _hash(text: str) -> int:
 
 
 def pieces(words: list[str], marks: list[str], common: frozenset[str] = frozenset()) -> list[int]:
-    """Hashes of the pieces of a title. Frames belong to no piece: they come and go.
+    """Hashes of the pieces of a title.
 
-    ``common`` words, those of a fixed share of all titles, are left out where five others remain.
+    Words that may come and go at little cost (frames, short words) belong to no piece, so titles
+    that align within MOST_COST differ by two content words at most. ``common`` words, those of a
+    fixed share of all titles, are left out where five others remain; with three or four others
+    the pieces of these are added, as a misspelt common word makes five of them.
     """
-    core, tail = [w for w in words if w not in FRAME_WORDS], "|" + " ".join(marks)
+    core, tail = [w for w in words if _light(w) > MOST_COST], "|" + " ".join(marks)
     rare = [w for w in core if w not in common]
-    core = rare if len(rare) >= 5 else core
-    if len(core) < 5:
-        out = {" ".join(core) + tail} | {" ".join(core[:i] + core[i + 1 :]) + tail for i in range(len(core))} if core else {" ".join(words) + tail}
-    else:
-        out = set()
-        for i in range(len(core) - 2):
-            for p in PATTERNS:
-                if i + p[2] < len(core):
-                    out.add(" ".join(core[i + k] for k in p) + tail)
-    return [_hash(x) for x in out]
+    out = _pieces(rare if len(rare) >= 5 else core)
+    if 3 <= len(rare) < 5:
+        out |= {" ".join(x) for x in combinations(rare, 3)}
+    return [_hash(x + tail) for x in out]
+
+
+def _pieces(core: list[str]) -> set[str]:
+    n = len(core)
+    if n >= 5:
+        return {" ".join(core[i + k] for k in p) for p in PATTERNS[min(n, 9)] for i in range(n - p[2])}
+    # Of shorter titles all that two errors may leave: all words but two, one and none.
+    out = {" ".join(x) for m in range(max(1, n - 2), n + 1) for x in combinations(core, m)}
+    if n <= 2:
+        # Both words may be misspelt, one of them by one edit: the words without one or two letters.
+        for w in core:
+            for v in {w} | {to for near, to in LEVELLED.items() if abs(len(near) - len(w)) <= 1 and distance(w, near, 1) <= 1}:
+                for m in range(3 if len(v) >= 7 and n == 1 else 2):
+                    out |= {"~" + "".join(x) for x in combinations(v, len(v) - m)}
+    return out or {""}
 
 
 def _describe(common: frozenset[str]):
@@ -213,12 +236,16 @@ def _describe(common: frozenset[str]):
 _DESCRIBED = "doi string, seq bigint, rid string, words string, marks string, parts array<bigint>, whole bigint"
 
 
-_PIECES = "part bigint, seq bigint, doi string, few boolean"
+_PIECES = "part bigint, seq bigint, doi bigint"
 
 
 def pieces_of(told: DataFrame) -> DataFrame:
-    """The rows of the piece table."""
-    return told.select(F.explode("parts").alias("part"), "seq", "doi", (F.size("parts") <= 9).alias("few"))
+    """The rows of the piece table; the DOI as its hash, NULL where there is none."""
+    return told.select(F.explode("parts").alias("part"), "seq", _doi_hash(F.col("doi")))
+
+
+def _doi_hash(doi: Column) -> Column:
+    return F.when(doi.isNotNull(), F.xxhash64(doi)).alias("doi")
 
 
 def describe(titles: DataFrame, common: frozenset[str]) -> DataFrame:
@@ -301,18 +328,11 @@ class Bucketed:
         files.delete(where, True)
 
 
-def near_pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+def near_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs (a < b by sequence) of rows of the piece table that share a piece, bucket by bucket."""
     met = right.join(left.select("part"), "part", "left_semi")
-    pairs = (
-        left.select("part", F.col("few").alias("fx"), F.col("seq").alias("x"), *on)
-        .join(met.select("part", F.col("few").alias("fy"), F.col("seq").alias("y"), *on), ["part", *on])
-        .where("x <> y")
-        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .agg(F.count("*").alias("n"), F.max(F.col("fx") | F.col("fy")).alias("few"))
-    )
-    # Coverage: longer titles have to share two pieces at least.
-    return pairs.where("few or n >= 2").select("a", "b")
+    pairs = left.select("part", F.col("seq").alias("x")).join(met.select("part", F.col("seq").alias("y")), "part").where("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def buckets_for(rows: int) -> int:
@@ -337,11 +357,14 @@ def publications(rows: DataFrame) -> DataFrame:
     hashes.append(pieces_of(heads))
     known, unknown = hashes.read().where("doi is not null"), hashes.read().where("doi is null")
     words = heads.select("seq", "words")
-    # Only DOIs that occur more than once can link anything.
-    several = heads.where("doi is not null").groupBy("doi").agg(F.count("*").alias("n")).where("n > 1").select("doi")
-    shared = known.join(several, "doi", "left_semi")
-    candidates = near_pairs(shared, shared, ["doi"])
-    loose = near_pairs(unknown, unknown, [])
+    # Rows of one DOI are all compared, whatever pieces they share.
+    by_doi = heads.where("doi is not null and words <> ''").select("doi", "marks", "seq")
+    candidates = (
+        by_doi.alias("p")
+        .join(by_doi.alias("q"), (F.col("p.doi") == F.col("q.doi")) & (F.col("p.marks") == F.col("q.marks")) & (F.col("p.seq") < F.col("q.seq")))
+        .select(F.col("p.seq").alias("a"), F.col("q.seq").alias("b"))
+    )
+    loose = near_pairs(unknown, unknown)
     by_id = heads.where("rid is not null").select("rid", "doi", "marks", "seq")
     again = (
         by_id.alias("p")
@@ -354,7 +377,7 @@ def publications(rows: DataFrame) -> DataFrame:
     placed = heads.select("seq", "doi").join(labels.withColumnRenamed("node", "seq"), "seq", "left")
     placed = cut(placed.select("seq", "doi", F.coalesce("label", "seq").alias("label")))
     # A group without DOI belongs to the earliest publication with a DOI whose title it repeats.
-    mixed = cut(_aligned(near_pairs(unknown, known, []), words))
+    mixed = cut(_aligned(near_pairs(unknown, known), words))
     hashes.drop()
     side = placed.select("seq", F.col("doi").isNull().alias("bare"), "label")
     joined = (
@@ -429,7 +452,7 @@ class HistoryIndex:
         old = self.content.read().select("whole", F.col("doi").alias("old_doi"), F.col("publication").alias("accepted"))
         copies = new.select("seq", "doi", "whole").join(old, "whole").where(same_doi).select("seq", "accepted")
         # Near copies: history's pieces that the batch has too, then an alignment.
-        mine = new.select("seq", "doi", "words", F.explode("parts").alias("part"))
+        mine = new.select("seq", _doi_hash(F.col("doi")), "words", F.explode("parts").alias("part"))
         met = self.hashes.read().join(mine.select("part"), "part", "left_semi").select("part", F.col("seq").alias("old"), F.col("doi").alias("old_doi"))
         pairs = mine.join(met, "part").where(same_doi).select("seq", "old", F.col("words").alias("wa")).distinct()
         told = self.nodes.read().select(F.col("seq").alias("old"), F.col("words").alias("wb"), F.col("publication").alias("accepted"))
