@@ -168,6 +168,13 @@ def test_short_titles_with_typos(spark, a, b):
     assert [tuple(r) for r in history.repeated_rows(df).collect()] == [(1, 2)]
 
 
+def test_long_titles_with_a_typo_near_each_end():
+    words = [f"content{'abcdefghijklmnopqrst'[i] * 3}" for i in range(20)]
+    typos = [words[0] + "x", *words[1:-1], words[-1][:-1]]
+    assert history.same_title(words, typos) and history.same_title(words, [*typos, "update"])
+    assert not history.same_title(words, [typos[0], words[1] + "x", *typos[2:]])
+
+
 # 6. markup
 
 

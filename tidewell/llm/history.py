@@ -164,8 +164,6 @@ def same_title(a: list[str], b: list[str], most: float = MOST_COST) -> bool:
     while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
         end += 1
     a, b = a[start : len(a) - end], b[start : len(b) - end]
-    if len(a) > 12 or len(b) > 12:
-        return False  # twelve words in a row that differ cost more than ``most`` in any alignment
     last = [0.0]
     for y in b:
         last.append(last[-1] + _light(y))
