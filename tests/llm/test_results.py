@@ -199,6 +199,24 @@ def test_losing_paths_go(spark):
     assert markup.cleaned(df, ["k"]).first().clean == "Prose of the text goes on here."
 
 
+def test_hosts_decide_on_one_path(spark):
+    prose = ["Trout were fed twice a day in all pens", "Smolts grew well after their first winter at sea", "Mussels were hung on long lines near the farm"]
+    menu = '<div class="menu"><a href="/">Home</a> <a href="/a">About us</a></div>'
+    rows = [(i, "shop", f'{p}. {p}.<div class="menu">{menu[18:-6]}</div>') for i, p in enumerate(prose)]
+    rows += [(10 + i, "farm", f'Results {i}.<div class="menu">{p}.</div>') for i, p in enumerate(prose)]
+    rows += [(20 + i, "copy", f'{p}. {p}.<span class="c">Copyright {2000 + i} by the publisher</span>') for i, p in enumerate(prose)]
+    rows += [(30 + i, "own", f'Results {i}.<span class="c">{p}.</span>') for i, p in enumerate(prose)]
+    rows += [(40 + i, "notes", f"Pens<ref>{p}</ref> were full.") for i, p in enumerate(prose)] + [(50 + i, "keys", f"Pens<ref>smith201{i}</ref> were full.") for i in range(3)]
+    votes = {(r.host, r.path): r.wins for r in markup.path_votes(spark.createDataFrame(rows, "k int, host string, text string")).collect()}
+    assert not votes["shop", "html>div.menu"] and votes["farm", "html>div.menu"]
+    assert not votes["copy", "html>span.c"] and votes["own", "html>span.c"]
+    assert votes["notes", "html>ref"] and not votes["keys", "html>ref"]
+    clean = {r.k: r.clean for r in markup.cleaned(spark.createDataFrame(rows, "k int, host string, text string"), ["k"]).collect()}
+    links = spark.createDataFrame([(1, "l", "In a [[fish farm|pen]] or [a tank](https://a.b/c) of ![x1](/p1.png) ours")], "k int, host string, text string")
+    assert markup.cleaned(links, ["k"]).first().clean == "In a pen or a tank of ours"
+    assert "About" not in clean[0] and prose[0] in clean[10] and "Copyright" not in clean[20] and prose[0] in clean[40]
+
+
 # 7. canonical
 
 

@@ -4,8 +4,11 @@ A text is read into containers: HTML and JATS elements, entities, Markdown, wiki
 constructs. Each container has a generalised path, its dialect and the tags with their classes
 above it, with digits and repeats levelled (``html>jats:sec>jats:p``, ``html>span.hl``,
 ``wiki>{{}}``, ``tex>env:equation``). Containers are scored by what they hold: prose counts for a
-path, link targets, references, templates and scripts against it. Spark adds the votes of all
-texts of a host per path (the host is the delivering source, as the records carry no site), and
+path; link texts, keys, numbers and wording that stands alone in several texts of the host count
+against it. Spark adds the votes of all texts of a host per path (the host is the delivering
+source, as the records carry no site) to a small prior for the kind of element, so one path can
+win at one host and lose at another. Structure that has to stay (headings, lists, tables, code,
+formulas, emphasis) wins unless it has a class, what is never shown (scripts, comments) loses, and
 texts are then extracted again with the host's winning paths: what stands in containers of winning
 paths stays, with headings, lists, code and formulas kept in one notation; containers of losing
 paths go. A construct two dialects share ("# x" is a heading or a numbered item) is read in the
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +42,16 @@ TAGS = frozenset(
     "style sub sup table tbody td tfoot th thead title tr tt u ul var xref".split()
 )
 VOID = frozenset("br hr img link meta".split())
-NO_PROSE = frozenset("script style nav ref xref head meta link".split())
+UNSEEN = frozenset("script style head meta link".split())
+STRUCTURE = frozenset(
+    "h9 li ul ol dl dd dt table thead tbody tfoot tr td th caption code tt kbd pre math sub sup i b em strong italic bold sc scp br hr title u "
+    "fence tick display escape wikihead strike '' item section section* subsection subsection* chapter emph textbf textit textsuperscript textsubscript".split()
+)
+#: Votes that a path has before any content is seen, against kinds that mostly hold references.
+PRIOR = 2.0
+DOUBTED = frozenset("nav ref xref template cite label footnote image".split())
+#: Weights of the letters of links and of the characters of keys and numbers against those of prose.
+LINKED, KEYED = 2.0, 6.0
 BLOCKS = frozenset("p div sec section article blockquote ul ol table tr body header footer br title pre dl dd dt caption figure".split())
 
 #: A necessary condition of every construct below, cheap enough for every text. Java and Python
@@ -183,36 +196,109 @@ def _brace(text: str, at: int) -> int:
     return len(text)
 
 
-def score(text: str, c: Container) -> float:
-    """What a container holds: letters in words for it, targets and keys against it."""
-    last = c.path.split(">")[-1].split(".")[0].split(":")[-1]
-    inside = text[c.inner[0] : c.inner[1]]
-    if last in NO_PROSE or c.path in ("wiki>template", "html>comment", "tex>cite", "tex>ref", "tex>label", "tex>footnote", "md>image"):
-        return -1.0 - math.log1p(len(inside))
-    return math.log1p(sum(ch.isalpha() for ch in inside)) + 0.1
+_INNER = re.compile(r"<[^<>]*>|\b(?:https?://|www\.)\S+|(?<=\])\([^()\s]*\)")
+_LINKED = re.compile(r"<a\b[^<>]*>(.*?)</a>|\[\[([^\[\]]*)\]\]|\[([^\]\n]*)\]\([^)\s]*\)", re.S | re.I)
+
+
+def _last(path: str) -> str:
+    return path.split(">")[-1].split(".")[0].split(":")[-1]
+
+
+def shown(c: Container, inside: str) -> str:
+    """What of a container would be read: labels of links, unnamed parts of templates, alternative texts."""
+    if c.path == "wiki>template":
+        return " ".join(x for x in inside.split("|")[1:] if "=" not in x).strip()
+    if c.path == "wiki>wikilink":
+        return inside.split("|")[-1]
+    if c.path in ("md>link", "md>image"):
+        return re.match(r"!?\[([^\]]*)\]", inside)[1]
+    return inside
+
+
+def score(text: str, c: Container) -> tuple[float, float, str]:
+    """(score, weight, wording) of a container by what it holds: letters of prose for it, those of
+    links and characters of keys and numbers against it. The wording is given where it stands alone
+    in its text and could be repeated in others; otherwise it is empty."""
+    if fixed(c.path) is not None:
+        return 0.0, 0.0, ""
+    whole = text[c.inner[0] : c.inner[1]]
+    inside = shown(c, whole)
+    label = c.path in ("wiki>wikilink", "md>link")
+    links = "" if label else " ".join(x or y or z for x, y, z in _LINKED.findall(inside))
+    flat = _INNER.sub(" ", inside)
+    words, keys = [], 0 if label else len(whole) - len(inside)
+    for w in flat.split():
+        bare = w.strip(".,;:!?()[]\"'“”‘’-–|/©")
+        if bare and all(ch.isalpha() or ch in "-–'’/.,;" for ch in bare):
+            words.append(bare)
+        else:
+            keys += len(bare)
+    letters, weight = sum(map(len, words)), math.log1p(len(flat.strip()))
+    if not words and re.fullmatch(r"[\s\d.,%+–-]*", flat):
+        return 0.0, weight, ""  # a number alone tells nothing
+    linked = min(letters, sum(ch.isalpha() for ch in links))
+    value = weight * max(-1.0, (letters - linked - LINKED * linked - KEYED * keys) / max(letters + keys, 1))
+    around = text[: c.start].rstrip(" ")[-1:], text[c.stop :].lstrip(" ")[:1]
+    alone = not (around[0].isalnum() or around[0] in tuple(",(") or around[1].isalnum() or around[1] in tuple(",)"))
+    part = alone and len(words) >= 2 and 2 * (c.stop - c.start) < len(text)
+    return value, weight, _level(" ".join(flat.split())) if part else ""
+
+
+def fixed(path: str) -> bool | None:
+    """True for structure that has to stay, False for what is never shown, None where hosts vote."""
+    last = _last(path)
+    if path.startswith("html>") and last in UNSEEN or path == "html>comment":
+        return False
+    if path == "entity" or "." not in path.split(">")[-1] and (last in STRUCTURE or re.fullmatch(r"h\d", last)):
+        return True
+    return True if path in ("tex>math", "md>h9", "md>quote") or path.startswith("tex>env:") else None
+
+
+def prior(path: str) -> float:
+    sure = fixed(path)
+    return (math.inf if sure else -math.inf) if sure is not None else -PRIOR if _last(path) in DOUBTED else PRIOR
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Votes of a batch, added up before the shuffle."""
+    """Votes of a batch: added up before the shuffle, wording that may repeat text by text."""
     for batch in batches:
-        sums: dict[tuple[str, str], list[float]] = {}
+        sums: dict[tuple[str, str, int, int], list[float]] = {}
         for host, text in zip(batch.column("host").to_pylist(), batch.column("text").to_pylist()):
+            whole = 0
             for c in containers(text):
-                cell = sums.setdefault((host, c.path), [0, 0.0])
+                value, weight, wording = score(text, c)
+                if wording:
+                    whole = whole or xxhash.xxh3_64_intdigest(text) - (1 << 63)
+                    key = (host, c.path, xxhash.xxh3_64_intdigest(wording) - (1 << 63), whole)
+                else:
+                    key = (host, c.path, 0, 0)
+                cell = sums.setdefault(key, [0, 0.0, weight, prior(c.path)])
                 cell[0] += 1
-                cell[1] += score(text, c)
-        keys = list(sums)
+                cell[1] += value
+        keys, cells = list(sums), list(sums.values())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([sums[k][0] for k in keys], pa.int64()), pa.array([sums[k][1] for k in keys], pa.float64())],
-            names=["host", "path", "n", "score"],
+            [
+                *(pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))),
+                *(pa.array([c[i] for c in cells], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.float64(), pa.float64()))),
+            ],
+            names=["host", "path", "wording", "whole", "n", "score", "weight", "prior"],
         )
 
 
 def path_votes(texts: DataFrame) -> DataFrame:
-    """(host, path, n, score, wins) over all containers of columns host and text."""
+    """(host, path, n, score, wins) over all containers of columns host and text.
+
+    Wording that stands alone in several different texts of a host counts for the path once and
+    against it in each further text.
+    """
     worth = texts.where(F.col("text").rlike(WORTH)).select("host", "text")
-    votes = worth.mapInArrow(_votes, "host string, path string, n bigint, score double")
-    total = votes.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("score").alias("score"))
+    votes = worth.mapInArrow(_votes, "host string, path string, wording bigint, whole bigint, n bigint, score double, weight double, prior double")
+    by_text = votes.groupBy("host", "path", "wording", "whole").agg(F.sum("n").alias("n"), F.sum("score").alias("score"), F.max("weight").alias("weight"), F.first("prior").alias("prior"))
+    told = by_text.groupBy("host", "path", "wording").agg(
+        F.sum("n").alias("n"), F.sum("score").alias("all"), F.max("score").alias("once"), F.max("weight").alias("weight"), F.count("*").alias("texts"), F.first("prior").alias("prior")
+    )
+    value = F.when((F.col("wording") != 0) & (F.col("texts") > 1), F.least("all", F.col("once") - (F.col("texts") - 1) * F.col("weight"))).otherwise(F.col("all"))
+    total = told.groupBy("host", "path").agg(F.sum("n").alias("n"), (F.sum(value) + F.first("prior")).alias("score"))
     return total.withColumn("wins", F.col("score") > 0)
 
 
@@ -225,7 +311,7 @@ def extract(text: str, lost: frozenset[str] = frozenset(), shared: str = "md") -
     edits: list[tuple[int, int, str]] = []
     for c in found:
         raw, inside = text[c.start : c.stop], text[c.inner[0] : c.inner[1]]
-        last = c.path.split(">")[-1].split(".")[0].split(":")[-1]
+        last = _last(c.path)
         if c.path in lost:
             edits.append((c.start, c.stop, ""))
             continue
@@ -258,11 +344,8 @@ def extract(text: str, lost: frozenset[str] = frozenset(), shared: str = "md") -
             continue
         elif c.path in ("tex>math", "tex>display", "md>fence", "md>tick"):
             continue
-        elif c.path == "wiki>wikilink":
-            edits.append((c.start, c.stop, inside.split("|")[-1]))
-            continue
-        elif c.path == "md>link":
-            edits.append((c.start, c.stop, re.match(r"\[([^\]]+)\]", raw)[1]))
+        elif c.path in ("wiki>wikilink", "md>link", "md>image", "wiki>template"):
+            edits.append((c.start, c.stop, shown(c, inside)))
             continue
         elif c.path == "wiki>''":
             edits.append((c.start, c.stop, raw.strip("'")))
