@@ -319,6 +319,17 @@ def test_abuse_on_held_out_documents(spark):
     assert sum(r.flagged for r in abuse.rates(frame, labels).collect()) == 50
 
 
+def test_scores_do_not_depend_on_the_size_of_the_corpus():
+    def scores(times):
+        total, within = {k: abuse.Counter() for k in abuse.STRONG}, {k: abuse.Counter() for k in abuse.STRONG}
+        for word, n, y in (("", 100_000, 500), ("vermin", 40, 4), ("scum", 10, 0), ("plaice", 60, 2)):
+            total["en"][word], within["en"][word] = n * times, y * times
+        return abuse.next_model(total, within, {k: frozenset() for k in abuse.STRONG}).scores["en"]
+
+    small, large = scores(1), scores(10)
+    assert all(abs(small[w] - large[w]) < 0.15 for w in ("vermin", "scum", "plaice"))
+
+
 def test_disguises():
     scores = {"en": {"stupid": 3.0, "kill": 3.0, "bastard": 3.0}, "es": {}, "no": {}}
     m = abuse.Model(scores, {k: 1.0 for k in scores}, {k: frozenset(["krill"]) for k in scores})

@@ -37,6 +37,9 @@ ASSUMED = {"strong": 24.0, "weak": 8.0}
 #: Total weight of the prior of the first model, in tokens, and of each word's in the next ones.
 PRIOR = 2_000.0
 SMOOTH = 1.0
+#: Tokens of a language for which the next models assume a quarter of ASSUMED once, as a rate: the
+#: prior grows with the corpus, so a share of words scores alike at every size.
+ASSUMED_PER = 100_000.0
 #: Score of words without evidence, and the least and greatest score of any word.
 DRIFT = -0.6
 LOWEST, HIGHEST = -2.0, 3.5
@@ -46,9 +49,8 @@ LIFT = 1.5
 LEAST_LIFT = 6.0
 #: Words of this share of all tokens are common: never taken for a misspelling of another.
 COMMON_SHARE = 2e-5
-#: Passes over the corpus after the first model, and words of a model at most.
+#: Passes over the corpus after the first model.
 ROUNDS = 3
-MOST_WORDS = 50_000
 #: A document is reported if its best segment scores this much and is expected this rarely.
 LEAST_SCORE = 5.0
 MOST_EXPECTED = 1e-2
@@ -233,12 +235,12 @@ def _counting(model: Model | None, candidates: frozenset[str]):
     return run
 
 
-def corpus_counts(texts: DataFrame, model: Model | None, candidates: frozenset[str], most: int = MOST_WORDS) -> tuple[dict[str, Counter], dict[str, Counter]]:
+def corpus_counts(texts: DataFrame, model: Model | None, candidates: frozenset[str]) -> tuple[dict[str, Counter], dict[str, Counter]]:
     """(occurrences, occurrences inside abusive segments) in all documents, per language.
 
     Without a model the candidates and the common words are counted (a share of all tokens, so at
-    most 1 / COMMON_SHARE words a language); with one, the candidates and the words that stand in
-    abusive segments more than once, the ``most`` frequent of them. "" counts all tokens.
+    most 1 / COMMON_SHARE words a language); with one, the candidates and all words that stand in
+    abusive segments more than once. "" counts all tokens.
     """
     parts = texts.select("text").where("text is not null").mapInArrow(_counting(model, candidates), "lang string, word string, n bigint, inside bigint")
     sums = parts.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("inside").alias("inside"))
@@ -248,7 +250,7 @@ def corpus_counts(texts: DataFrame, model: Model | None, candidates: frozenset[s
         tokens = sum(r.n for r in sums.where("word = ''").collect())
         sums = sums.where(F.col("wanted") | (F.col("n") >= max(5, COMMON_SHARE * tokens)))
     else:
-        sums = sums.where(F.col("wanted") | (F.col("inside") > 1)).orderBy(F.desc("wanted"), F.desc("inside"), "lang", "word").limit(most)
+        sums = sums.where(F.col("wanted") | (F.col("inside") > 1))
     total, within = {k: Counter() for k in STRONG}, {k: Counter() for k in STRONG}
     for r in sums.collect():
         total[r.lang][r.word], within[r.lang][r.word] = r.n, r.inside
@@ -296,7 +298,10 @@ def _beyond_chance(n: int, mean: float) -> bool:
 
 
 def next_model(total: dict[str, Counter], within: dict[str, Counter], common: dict[str, frozenset[str]]) -> Model:
-    """Log-odds of standing in abusive rather than in other text, under the Dirichlet prior."""
+    """Log-odds of standing in abusive rather than in other text, under the Dirichlet prior.
+
+    The pseudo-counts of listed words are in proportion to the tokens, at every count.
+    """
     scores, lams = {}, {}
     for lang in STRONG:
         tokens, inside, listed = max(total[lang][""], 1), within[lang][""], _listed(lang)
@@ -304,7 +309,7 @@ def next_model(total: dict[str, Counter], within: dict[str, Counter], common: di
         table: dict[str, float] = {}
         for w in {w for w in total[lang] if w} | set(listed):
             n, y = total[lang][w], within[lang][w]
-            up = y + SMOOTH * rate + (listed.get(w, 0.0) if n < 50 else 0.0) / 4
+            up = y + SMOOTH * rate + listed.get(w, 0.0) / 4 * tokens / ASSUMED_PER
             down = n - y + SMOOTH * (1.0 - rate)
             table[w] = max(LOWEST, min(HIGHEST, math.log(up / down) + LIFT))
         scores[lang] = table
