@@ -279,6 +279,17 @@ def test_leaks(spark):
 # 9. mixing
 
 
+@pytest.mark.parametrize("wrong", [(1,), (13,), (7,), (1, 14), (2, 13)])
+def test_errors_near_the_ends_of_a_leak(wrong):
+    least = 15 + len([w for w in wrong if w == 14])
+    item = [f"word{i}" for i in range(40)]
+    part = [f"other{i}" if i in wrong else w for i, w in enumerate(item[10 : 10 + least])]
+    doc = [f"before{i}" for i in range(20)] + part + [f"after{i}" for i in range(20)]
+    told = [True] * len(item)
+    assert contamination.leaked(item, doc, told, contamination.Coder(), 15, 0.2)
+    assert not contamination.leaked(item, doc[:-21] + doc[-20:], told, contamination.Coder(), least, 0.2)
+
+
 def test_mix_reaches_its_shares(spark):
     docs = [(i, "word " * (5 + i % 7), "big" if i < 900 else "small" if i < 960 else "unlisted") for i in range(1000)]
     targets = spark.createDataFrame([("big", 0.6, 1), ("small", 0.4, 3), ("gone", 0.2, 2)], "source string, target_share double, max_repeats int")

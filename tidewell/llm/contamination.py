@@ -102,26 +102,30 @@ def seeds_of(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("bigint").alias(key), text).where(F.col(text).isNotNull()).mapInArrow(_seeds(key, text), "id bigint, at bigint, seed bigint")
 
 
-def align(item: list[str], doc: list[str], evidence: list[bool], i: int, j: int) -> tuple[int, int, int, int]:
+def align(item: list[str], doc: list[str], evidence: list[bool], i: int, j: int, least: int, most: float) -> tuple[bool, int, int]:
     """Extends the equal words item[i] = doc[j] both ways, word by word.
 
-    Returns (words of the item covered, errors in them, words that are evidence, words before i). At a difference
+    Returns (whether a run of ``least`` words, as many of them evidence, has no more errors than ``most`` a word,
+    words of the item covered by the best run, those of them before i). At a difference
     the next step is the one after which most of the following words agree: replace, leave out in
-    the document, or inserted in the document. An extension ends where the errors of its last ten
-    words reach four, and counts up to where right words less weighted errors were most.
+    the document, or inserted in the document. An extension stops where the errors of its last ten
+    words reach four. Every end at a right word is tried for the run; the best one is where right
+    words less weighted errors were most.
     """
 
-    def walk(a: int, b: int, step: int) -> tuple[int, int, int]:
+    def walk(a: int, b: int, step: int) -> tuple[int, list[tuple[int, int, int]]]:
         covered = errors = told = 0
-        best, top = (0, 0, 0), 0
+        best, top = 0, 0
+        ends = {0: (0, 0)}  # errors -> the farthest end with so many (covered, evidence)
         recent: list[int] = []
         while 0 <= a < len(item) and 0 <= b < len(doc):
             if item[a] == doc[b]:
                 covered, told = covered + 1, told + evidence[a]
                 recent.append(0)
                 a, b = a + step, b + step
+                ends[errors] = covered, told
                 if covered - ERROR_COST * errors >= top:
-                    best, top = (covered, errors, told), covered - ERROR_COST * errors
+                    best, top = covered, covered - ERROR_COST * errors
             else:
                 gains = []
                 for da, db in ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (2, 0), (0, 2)):
@@ -142,10 +146,11 @@ def align(item: list[str], doc: list[str], evidence: list[bool], i: int, j: int)
                 a, b = a + da * step, b + db * step
             if sum(recent[-10:]) >= 4:
                 break
-        return best
+        return best, [(c, e, t) for e, (c, t) in ends.items()]
 
-    back, ahead = walk(i - 1, j - 1, -1), walk(i, j, 1)
-    return back[0] + ahead[0], back[1] + ahead[1], back[2] + ahead[2], back[0]
+    (before, backs), (after, aheads) = walk(i - 1, j - 1, -1), walk(i, j, 1)
+    found = any(c + d >= least and t + u >= least and e + f <= most * (c + d) for c, e, t in backs for d, f, u in aheads)
+    return found, before + after, before
 
 
 def meeting_places(item: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -173,8 +178,8 @@ def leaked(item: list[str], doc: list[str], evidence: list[bool], coder: Coder,
     for i, j in meeting_places(coder(item), coder(doc)):
         if any(a <= j <= b for d in (j - i - 1, j - i, j - i + 1) for a, b in spans[d]):
             continue
-        covered, wrong, known, back = align(item, doc, evidence, i, j)
-        if covered >= least and known >= least and wrong <= errors * covered:
+        found, covered, back = align(item, doc, evidence, i, j, least, errors)
+        if found:
             return True
         if covered >= 8:
             spans[j - i].append((j - back, j - back + covered))
