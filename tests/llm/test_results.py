@@ -40,6 +40,15 @@ def test_names_of_one_author(spark):
     assert got == {tuple(sorted(p)) for g in groups for p in combinations(g, 2)}
 
 
+def test_hot_surname_beside_a_rarer_given_name(spark):
+    import string
+
+    hot = [f"Hansen, {a}{b}qu{b}wix" for a in string.ascii_uppercase if a != "Z" for b in "abdefg"]
+    cells = [*hot, "Zoltan Hansen", "Hansen, Zoltan"]
+    got = {(r.name_a, r.name_b) for r in names.variant_pairs(screening(spark, [(i, None, None, None, None, c, 0, None) for i, c in enumerate(cells)])).collect()}
+    assert ("Hansen, Zoltan", "Zoltan Hansen") in got
+
+
 def test_labels_of_a_long_chain(spark):
     links = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(60)] + [("x", "y")], "a string, b string")
     got = {r.node: r.label for r in least_labels(links).collect()}

@@ -91,8 +91,8 @@ def tokens_of(name: str) -> list[str]:
     return [t for t in re.findall(r"[a-z]+", fold(name).replace("-", "").replace("'", "")) if t not in TITLES]
 
 
-def readings(name: str, rare: dict[str, int]) -> list[tuple[str, list[str]]]:
-    """(family part, given parts) as the name may be read; ``rare`` has how many spellings hold a token."""
+def readings(name: str) -> list[tuple[str, list[str]]]:
+    """(family part, given parts) as the name may be read: without a comma any long token may be the family."""
     cleaned = re.sub(r",\s*(?:PhD|MD|MSc|Dr|Jr|Sr)\b\.?", "", name)
     if "," in cleaned:
         before, _, after = cleaned.partition(",")
@@ -107,17 +107,23 @@ def readings(name: str, rare: dict[str, int]) -> list[tuple[str, list[str]]]:
         return []
     if len(tokens) == 1:
         return [(tokens[0], [])]
-    least = min(rare.get(tokens[i], 1) for i in long)
     out = []
     for i in long:
-        if rare.get(tokens[i], 1) <= max(12, 4 * least):
-            rest = tokens[:i] + tokens[i + 1 :]
-            out.append((tokens[i], _given(rest, cleaned)))
-            if i + 1 in long and rare.get(tokens[i + 1], 1) <= max(12, 4 * least) and len(tokens) > 2:
-                out.append((tokens[i] + tokens[i + 1], _given(tokens[:i] + tokens[i + 2 :], cleaned)))
+        rest = tokens[:i] + tokens[i + 1 :]
+        out.append((tokens[i], _given(rest, cleaned)))
+        if i + 1 in long and len(tokens) > 2:
+            out.append((tokens[i] + tokens[i + 1], _given(tokens[:i] + tokens[i + 2 :], cleaned)))
     return out
 
 
+def unread(a: tuple[str, list[str]], b: tuple[str, list[str]], rare: dict[str, int]) -> bool:
+    """Does the rarest long token of a stand where b has nothing? Such a reading takes a given name for the family."""
+    tokens = [t for t in a[1] if len(t) >= 3]
+    extra = [t for t in a[1][len(b[1]) :] if len(t) >= 3]
+    least = min((rare.get(t, 1) for t in [a[0], *tokens]), default=0)
+    return any(rare.get(t, 1) == least for t in extra) and rare.get(a[0], 1) > least
+
+
 def _given(tokens: list[str], raw: str) -> list[str]:
     """Given parts; "VN" and "V.N." are two initials."""
     out: list[str] = []
@@ -226,24 +232,26 @@ def q_grams(token: str) -> list[str]:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (name, token, initial, len) by which a spelling can be found, one per reading and initial."""
     for batch in batches:
-        names, anchors, initials = [], [], []
+        names, anchors, initials, given_names = [], [], [], []
         for name, tokens, counts in zip(*(batch.column(c).to_pylist() for c in ("name", "tokens", "counts"))):
             rare = dict(zip(tokens, counts))
-            rows: set[tuple[str, str]] = set()
+            rows: set[tuple[str, str, str]] = set()
             if is_body(name):
                 words, _ = _body_words(name)
                 places = [w for w in words if w not in BODIES and len(w) >= 5] or words
                 least = min((rare.get(w, 1) for w in places), default=1)
-                rows |= {(w, "*") for w in places if rare.get(w, 1) <= max(12, 4 * least)}
+                rows |= {(w, "*", "") for w in places if rare.get(w, 1) <= max(12, 4 * least)}
             else:
-                for family, given in readings(name, rare):
+                for family, given in readings(name):
                     for full in _CANONICAL.get(given[0], frozenset((given[0],))) | {given[0]} if given else ():
-                        rows |= {(family, full[0])} | ({(family, full[1])} if len(full) > 2 else set())
-            for token, initial in sorted(rows):
+                        told = full if len(full) > 2 else ""
+                        rows |= {(family, full[0], told)} | ({(family, full[1], told)} if told else set())
+            for token, initial, told in sorted(rows):
                 names.append(name)
                 anchors.append(token)
                 initials.append(initial)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, anchors, initials)], names=["name", "token", "initial"])
+                given_names.append(told)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, anchors, initials, given_names)], names=["name", "token", "initial", "given"])
 
 
 def _judge(total: int):
@@ -257,9 +265,11 @@ def _judge(total: int):
                     score, la, lb = (same_body(a, b) if is_body(a) and is_body(b) else 0.0), 9, 9
                 else:
                     score, la, lb = 0.0, 0, 0
-                    for x in readings(a, ra):
+                    for x in readings(a):
                         wx = math.log(1 + total / ra.get(x[0], 1))
-                        for y in readings(b, rb):
+                        for y in readings(b):
+                            if unread(x, y, ra) or unread(y, x, rb):
+                                continue
                             s, _ = compare(x, y, wx, math.log(1 + total / rb.get(y[0], 1)))
                             if s > score:
                                 score, la, lb = s, level(x[1]), level(y[1])
@@ -295,7 +305,7 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(named: DataFrame) -> DataFrame:
     """Pairs (a, b) of spellings with alike rare tokens: the prefix-filtered set-similarity join."""
-    anchors = cut(named.mapInArrow(_read, "name string, token string, initial string"))
+    anchors = cut(named.mapInArrow(_read, "name string, token string, initial string, given string"))
     grams = anchors.select("token", "initial").distinct()
     padded = F.concat(F.lit("^"), F.col("token"), F.lit("$"))
     split = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.substring(padded, i, F.lit(3))))
@@ -319,9 +329,11 @@ def candidates(named: DataFrame) -> DataFrame:
         .distinct()
     )
     near = alike.union(anchors.select("token", F.col("token").alias("other"), "initial").distinct())
-    x = anchors.select("token", "initial", F.col("name").alias("x"))
-    y = anchors.select(F.col("token").alias("other"), "initial", F.col("name").alias("y"))
+    x = anchors.select("token", "initial", F.col("given").alias("gx"), F.col("name").alias("x"))
+    y = anchors.select(F.col("token").alias("other"), "initial", F.col("given").alias("gy"), F.col("name").alias("y"))
     pairs = near.join(x, ["token", "initial"]).join(y, ["other", "initial"]).where("x <> y")
+    # Given names written out on both sides are at most two edits apart (four, where letters are swapped).
+    pairs = pairs.where((F.col("gx") == "") | (F.col("gy") == "") | (F.levenshtein("gx", "gy", 4) >= 0))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
