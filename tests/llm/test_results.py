@@ -341,18 +341,53 @@ def test_abuse_on_held_out_documents(spark):
 
 def test_scores_do_not_depend_on_the_size_of_the_corpus():
     def scores(times):
-        total, within = {k: abuse.Counter() for k in abuse.STRONG}, {k: abuse.Counter() for k in abuse.STRONG}
-        for word, n, y in (("", 100_000, 500), ("vermin", 40, 4), ("scum", 10, 0), ("plaice", 60, 2)):
-            total["en"][word], within["en"][word] = n * times, y * times
-        return abuse.next_model(total, within, {k: frozenset() for k in abuse.STRONG}).scores["en"]
+        counts = (("", 100_000, 500), ("vermin", 40, 4), ("scum", 10, 0), ("plaice", 60, 2))
+        total, within = ({word: x[i] * times for word, *x in counts} for i in (0, 1))
+        return abuse.next_model(total, within, frozenset()).scores
 
     small, large = scores(1), scores(10)
     assert all(abs(small[w] - large[w]) < 0.15 for w in ("vermin", "scum", "plaice"))
 
 
 def test_disguises():
-    scores = {"en": {"stupid": 3.0, "kill": 3.0, "bastard": 3.0}, "es": {}, "no": {}}
-    m = abuse.Model(scores, {k: 1.0 for k in scores}, {k: frozenset(["krill"]) for k in scores})
+    m = abuse.Model({"stupid": 3.0, "kill": 3.0, "bastard": 3.0}, frozenset(["krill"]))
     for token, word in (("stup1d", "stupid"), ("s****d", "stupid"), ("stuuuupid", "stupid"), ("k!ll", "kill"), ("b@$tard", "bastard"), ("stpuid", "stupid"), ("krill", None), ("oxygen", None)):
-        assert m.known(token, "en") == word, token
+        assert m.known(token) == word, token
     assert abuse.raw_tokens("so s t u p i d and s-t-u-p-i-d")[1::2] == ["stupid", "stupid"]
+
+
+def test_segments_and_best_scores_against_brute_force():
+    rng = random.Random(6)
+    docs = [[rng.choice([-1.5, -0.6, 0.0, 0.7, 2.0]) for _ in range(rng.randrange(0, 25))] for _ in range(200)]
+    names = {-1.5: "a", -0.6: "b", 0.0: "c", 0.7: "d", 2.0: "e"}
+    got = abuse._Tokens(abuse.pa.array([" ".join(names[s] for s in d) for d in docs]))
+    score_of = {n: s for s, n in names.items()} | {"": 0.0}
+    best = got.best(abuse.np.array([score_of[t] for t in got.different])[got.at])
+    for d, (doc, top) in enumerate(zip(docs, best)):
+        sums = [sum(doc[i:j]) for i in range(len(doc)) for j in range(i + 1, len(doc) + 1)]
+        assert abs(max([0.0, *sums]) - top) < 1e-9 and got.lengths[d] == len(doc)
+        found = abuse.segments(doc)
+        assert not doc or abs(max([s for s, _, _ in found], default=0.0) - top) < 1e-9
+        assert all(b <= c for (_, _, b), (_, c, _) in zip(sorted(found, key=lambda x: x[1]), sorted(found, key=lambda x: x[1])[1:]))
+
+
+def test_calibration_finds_the_k_of_drawn_scores():
+    rng, lam, k = random.Random(9), 1.3, 0.02
+    drawn = []
+    for _ in range(20_000):
+        n = rng.randrange(50, 400)
+        drawn.append((max(0.0, (abuse.math.log(k * n) - abuse.math.log(-abuse.math.log(rng.random()))) / lam), 1, n))
+    drawn += [(20.0, 1, 100)] * 300  # passages beyond chance are censored
+    assert abs(abuse.fitted_k(drawn, lam) / k - 1) < 0.1
+    assert abs(abuse.expectation([3.0], 100, lam, k) - k * 100 * abuse.math.exp(-lam * 3.0)) < 1e-12
+    assert abuse.expectation([3.0, 3.0], 100, lam, k) < abuse.expectation([3.0], 100, lam, k)
+
+
+def test_no_word_needs_a_list(spark, monkeypatch):
+    _, some = passages(8)
+    lines = ["Nobody would miss that gleeb crowd.", "They are all zorpish fools."]
+    docs = [(i, " ".join(some(30)) + ". " + (lines[i % 2] if i % 7 == 0 else "The pens were full.") + " " + " ".join(some(30)), "s") for i in range(700)]
+    labels = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    monkeypatch.setattr(abuse, "LISTED", {})
+    got = {r.doc_id for r in abuse.abusive_documents(spark.createDataFrame(docs, "doc_id bigint, text string, source string"), labels).collect()}
+    assert got == {i for i in range(700) if i % 7 == 0}

@@ -1,21 +1,25 @@
 """Abusive, hateful or sexual content.
 
-Every token gets the log-odds of abusive against ordinary text under Dirichlet priors, the prior
-of a word being its share of the whole corpus plus, for a word of the lists below, a number of
-abusive occurrences assumed beforehand. A linear scan finds the maximum-scoring segments of each
-document; with the scores' distribution over the corpus (extreme-value statistics of Karlin and
-Altschul: the lambda for which the mean of exp(lambda * score) is 1) each becomes an expected
-number of such segments by chance, and a document is reported when that number is small.
-
-Training: ``labels`` names abusive documents, of which up to ``MOST_LABELS`` are read; the first
-model takes them whole, the next ones the segments that the model before finds in all documents.
-Counts of ordinary text are over all documents.
-
-Disguises are undone token by token: look-alike signs, letters spread by spaces or hyphens,
-stretched letters, masks of asterisks, and one-letter misspellings of words that count.
-
-Defined results: NULL and empty texts score 0; without labels the lists alone decide; documents
-in languages without lists are scored with all lists together.
+Every token gets the log-odds of standing in abusive rather than in other text, under Dirichlet
+priors whose weight is a share of the corpus' tokens, so scores do not depend on its size. A
+linear scan (Ruzzo and Tompa) finds all maximal scoring segments of a document. Scores become
+expectations by extreme-value statistics (Karlin and Altschul): lambda is the root of
+mean(exp(lambda * score)) = 1 over the corpus' tokens, K is fitted to the best scores of all
+documents, those beyond reach of chance censored; the segments of a document are combined by the
+statistic of sums. A document is reported when one of its segments scores enough and is expected
+by chance rarely enough.
+
+Training: the first model compares the documents that ``labels`` calls abusive with the corpus;
+the next ones compare the segments that the model before finds in all documents with the rest.
+All counts are over all documents and made in Spark; the driver gets the words of the model only.
+
+Documents are tokenised once, into a table of the shared folder. A pass over it looks up each
+different token of a batch once, so disguises are undone per token and not per occurrence:
+look-alike signs, letters spread by spaces or hyphens, stretched letters, masks of asterisks, and
+one-letter misspellings of words that count.
+
+Defined results: NULL and empty texts score 0 and have no passages; without labels the list alone
+decides; languages need no list where labels exist, and all languages share one table of words.
 """
 
 from __future__ import annotations
@@ -23,23 +27,21 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents used at most for training; they are read into the driver.
-MOST_LABELS = 20_000
-#: Assumed abusive occurrences of a listed word, per list.
-ASSUMED = {"strong": 24.0, "weak": 8.0}
-#: Total weight of the prior of the first model, in tokens, and of each word's in the next ones.
-PRIOR = 2_000.0
-SMOOTH = 1.0
-#: Tokens of a language for which the next models assume a quarter of ASSUMED once, as a rate: the
-#: prior grows with the corpus, so a share of words scores alike at every size.
-ASSUMED_PER = 100_000.0
+from ..session import cut, written
+
+#: Weight of the prior of the first model, and of its assumed abusive occurrences of a listed word,
+#: as shares of the labelled tokens (of a thousandth of the corpus, if those are fewer).
+PRIOR, ASSUMED = 0.3, 0.0035
+#: The same for the next models, per million tokens of the corpus.
+SMOOTH_PER, ASSUMED_PER = 0.3, 2.0
 #: Score of words without evidence, and the least and greatest score of any word.
 DRIFT = -0.6
 LOWEST, HIGHEST = -2.0, 3.5
@@ -50,35 +52,19 @@ LEAST_LIFT = 6.0
 #: Words of this share of all tokens are common: never taken for a misspelling of another.
 COMMON_SHARE = 2e-5
 #: Passes over the corpus after the first model.
-ROUNDS = 3
-#: A document is reported if its best segment scores this much and is expected this rarely.
+ROUNDS = 2
+#: A passage scores this much and is expected this rarely; segments from LEAST_PART on are combined.
 LEAST_SCORE = 5.0
 MOST_EXPECTED = 1e-2
-
-#: Words that abuse, threaten, demean or are sexually explicit.
-STRONG = {
-    "en": "asshole arsehole arse ass bastard bitch bullshit clit cock cocksucker creep cum cunt dick dickhead dumbass erection faggot fuck fucked "
-    "fucker fucking hooker horny idiot imbecile motherfucker moron naked nude nudes orgasm penis piss porn porno prick pussy rape scum shit shitty "
-    "slut subhuman tits twat vagina vermin whore wanker parasites filth braindead brainless worthless pathetic stupid dumb loser filthy disgusting "
-    "retard trash savages thieves animals pig cow rat clown sex moaned",
-    "es": "cabron cabrones cojones coger concha coño culo follar furcia gilipollas hijoputa idiota imbecil joder maricon mierda pendejo perra polla "
-    "puta putas puto subnormal tetas verga zorra basura asco cerdo asquerosa asquerosas asqueroso retrasado estupido callate muerete matarte",
-    "no": "drittsekk dritt faen fitte hore horer idiot jævel jævla kuk kødd kødden kukk ludder pikk pule knulle rasshøl svin dum dumme gris ræv "
-    "rævhøl tulling tosk undermennesker motbydelig motbydelige kjerring drep drepe banke kjeft pupper søppel ekkel",
-}
-#: Words by which a person or a group is spoken to or of, and words of violence.
-WEAK = {
-    "en": "you your yours yourself he his him she her they them their people women men migrants gays foreigners foreign folk race faith outsiders "
-    "nobody everyone hate kill die drown beat bleeds hurt neck family ambulance thrown throat shut hell ugly lying dirty poison breed ruin lick "
-    "bleed guts themselves having stab shoot burn hang deserves deserve vanished human lower boys girls body clothes bed driven harbour disabled blood me my i am",
-    "es": "tu te eres ti ustedes ellos extranjeros mujeres gente raza inmigrantes nadie todos voy romper matar morir cara golpes echarlos odio "
-    "verguenza persona quiere tus ojala",
-    "no": "du deg din ditt dere de dem kvinner innvandrere innflyttere innflytterne utlendinger løgner jages kastes folk rase ingen alle hater slå dø blod drukne gul blå jeg skal sjef kast",
-}
-_HINTS = {
-    "en": frozenset("the of and this that with was were is by to in".split()),
-    "es": frozenset("el la los las de que y en con del por una un".split()),
-    "no": frozenset("og det som på av til ikke er med ved en et i".split()),
+LEAST_PART = 1.0
+
+#: Words that abuse or are obscene by themselves.
+LISTED = {
+    "en": "arsehole asshole bastard bitch braindead bullshit cocksucker cunt dick dickhead dumbass faggot fuck fucked fucker fucking hooker horny idiot "
+    "imbecile moron motherfucker pathetic piss porn porno prick pussy retard scum shit shitty slut stupid subhuman tits twat wanker whore worthless",
+    "es": "asquerosa asqueroso cabron cabrones cojones estupido follar furcia gilipollas hijoputa idiota imbecil joder maricon mierda pendejo puta putas "
+    "puto retrasado subnormal tetas zorra",
+    "no": "dritt drittsekk faen fitte hore horer jævel jævla knulle kuk kukk ludder motbydelig pikk pule rasshøl ræv rævhøl undermennesker",
 }
 _LOOK = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l", "€": "e"})
 _SPREAD = re.compile(r"(?<![^\W_])(?:[^\W\d_](?:[ \-._*]|·)){2,}[^\W\d_](?![^\W_])")
@@ -86,14 +72,10 @@ _WORD = re.compile(r"[^\W_](?:[\w@$!*|€'’]*[\w@$*])?|[@$!*][\w@$!*]*[\w@$*]"
 
 
 def plain(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     lower = unicodedata.normalize("NFKD", text.lower())
-    return "".join(c for c in lower if not unicodedata.combining(c) or c == "̊").replace("å", "å")
-
-
-def language(words: list[str]) -> str:
-    """The language whose function words are most frequent; English where none are."""
-    found = Counter(words)
-    return max(("en", "es", "no"), key=lambda k: sum(found[w] for w in _HINTS[k]))
+    return "".join(c for c in lower if not unicodedata.combining(c) or c == "̊").replace("å", "å")
 
 
 def raw_tokens(text: str) -> list[str]:
@@ -108,32 +90,33 @@ def raw_tokens(text: str) -> list[str]:
     return _WORD.findall(_SPREAD.sub(together, plain(text)))
 
 
+def listed_words() -> frozenset[str]:
+    return frozenset(w for words in LISTED.values() for w in plain(words).split())
+
+
 class Model:
-    """Scores of words per language and the tables that undo disguises."""
-
-    def __init__(self, scores: dict[str, dict[str, float]], lam: dict[str, float], common: dict[str, frozenset[str]], ordinary: float = DRIFT, k: float = 0.1):
-        self.scores, self.lam, self.common, self.ordinary, self.k = scores, lam, common, ordinary, k
-        self.masks: dict[str, dict[tuple[str, str, int], str]] = {}
-        self.near: dict[str, dict[str, str]] = {}
-        for lang, table in scores.items():
-            masks, near = {}, {}
-            for w in sorted((w for w, s in table.items() if s > 0.8 and len(w) >= 3), key=lambda w: table[w]):
-                masks[(w[0], w[-1], len(w))] = w
-                if len(w) >= 4:
-                    for i in range(len(w)):
-                        near[w[:i] + w[i + 1 :]] = w
-                    near[w] = w
-            self.masks[lang], self.near[lang] = masks, near
-
-    def known(self, token: str, lang: str) -> str | None:
+    """Scores of words and the tables that undo disguises; lambda and K of their segments."""
+
+    def __init__(self, scores: dict[str, float], common: frozenset[str], ordinary: float = DRIFT, lam: float = 1.0, k: float = 1.0):
+        self.scores, self.common, self.ordinary, self.lam, self.k = scores, common, ordinary, lam, k
+        self.masks: dict[tuple[str, str, int], str] = {}
+        self.near: dict[str, str] = {}
+        for w in sorted((w for w, s in scores.items() if s > 0.8 and len(w) >= 3), key=lambda w: (scores[w], w)):
+            self.masks[(w[0], w[-1], len(w))] = w
+            if len(w) >= 4:
+                for i in range(len(w)):
+                    self.near[w[:i] + w[i + 1 :]] = w
+                self.near[w] = w
+
+    def known(self, token: str) -> str | None:
         """The scored word that a token stands for, or None."""
-        table = self.scores[lang]
+        table = self.scores
         if token in table:
             return token
-        if token in self.common[lang]:
+        if token in self.common:
             return None  # an ordinary word is no disguise
         if "*" in token and len(token) >= 3:
-            hit = self.masks[lang].get((token[0], token[-1], len(token)))
+            hit = self.masks.get((token[0], token[-1], len(token)))
             if hit:
                 return hit
         if not token.isalpha():
@@ -151,140 +134,155 @@ class Model:
         short = re.sub(r"(.)\1+", r"\1", short)
         if short in table and short != token:
             return short
-        near = self.near[lang]
         if len(token) >= 3:
-            if token in near:
-                return near[token]
+            if token in self.near:
+                return self.near[token]
             if len(token) >= 4:
                 u = token.replace("v", "u")
                 if u in table and table[u] > 0.8:
                     return u
                 for i in range(len(token)):
-                    less = token[:i] + token[i + 1 :]
-                    w = near.get(less)
+                    w = self.near.get(token[:i] + token[i + 1 :])
                     if w is not None and abs(len(w) - len(token)) <= 1:
                         return w
         return None
 
-    def segments(self, text: str) -> tuple[str, list[tuple[float, int, int]], list[str]]:
-        """(language, disjoint maximal segments (score, from, to), tokens) of a text."""
-        tokens = raw_tokens(text)
-        lang = language(tokens)
-        table, found = self.scores[lang], []
-        running, start, best = 0.0, 0, (0.0, 0, 0)
-        cache: dict[str, float] = {}
-        for i, token in enumerate(tokens):
-            s = cache.get(token)
-            if s is None:
-                word = self.known(token, lang)
-                s = cache[token] = table[word] if word else self.ordinary if token in self.common[lang] else DRIFT
-            if running <= 0:
-                if best[0] > 0:
-                    found.append(best)
-                running, start, best = 0.0, i, (0.0, i, i)
-            running += s
-            if running > best[0]:
-                best = (running, start, i + 1)
-            elif running < best[0] - 4.0:
-                found.append(best)
-                running, best = 0.0, (0.0, i + 1, i + 1)
-        if best[0] > 0:
-            found.append(best)
-        return lang, found, tokens
-
-    def rate(self, text: str) -> tuple[float, float, int]:
-        """(best score, expected number by chance, significant passages) of a document."""
-        lang, found, tokens = self.segments(text)
-        if not found:
-            return 0.0, float(len(tokens)), 0
-        expected = [(self.k * len(tokens) * math.exp(-self.lam[lang] * s), s) for s, _, _ in found]
-        good = [(e, s) for e, s in expected if e <= MOST_EXPECTED and s >= LEAST_SCORE]
-        e, s = min(expected)
-        return s, e, len(good)
-
-
-def _counting(model: Model | None, candidates: frozenset[str]):
-    """Per batch and word: occurrences, and those inside segments that count as abusive."""
+    def score(self, token: str) -> tuple[float, str]:
+        """(score, the word it is counted as) of a token."""
+        word = self.known(token)
+        if word is not None:
+            return self.scores[word], word
+        return (self.ordinary if token in self.common else DRIFT), token
+
+
+def segments(scores: list[float]) -> list[tuple[float, int, int]]:
+    """All maximal scoring segments (score, from, to) of a sequence, in linear time."""
+    kept: list[tuple[int, int, float, float]] = []
+    total = 0.0
+    for i, s in enumerate(scores):
+        if s <= 0:
+            total += s
+            continue
+        start, left, total = i, total, total + s
+        while True:
+            j = len(kept) - 1
+            while j >= 0 and kept[j][2] >= left:
+                j -= 1
+            if j < 0 or kept[j][3] >= total:
+                kept.append((start, i + 1, left, total))
+                break
+            start, left = kept[j][0], kept[j][2]
+            del kept[j:]
+    return [(right - left, a, b) for a, b, left, right in kept]
+
+
+def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = pa.array([" ".join(raw_tokens(t)) if t else "" for t in batch.column("text").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), words], names=["doc_id", "source", "words"])
+
+
+def tokenised(documents: DataFrame) -> DataFrame:
+    """(doc_id, source, words) of every document, words being its tokens joined by spaces."""
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text")
+    return rows.mapInArrow(_tokenise, "doc_id bigint, source string, words string")
+
+
+class _Tokens:
+    """The tokens of a batch: each different one once, and where it stands."""
+
+    def __init__(self, words: pa.Array):
+        lists = pc.split_pattern(words, " ")
+        coded = lists.flatten().dictionary_encode()
+        self.different: list[str] = coded.dictionary.to_pylist()
+        self.at = coded.indices.to_numpy(zero_copy_only=False)
+        self.starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        blank = pc.equal(words, "").to_numpy(zero_copy_only=False)
+        self.lengths = np.where(blank, 0, np.diff(self.starts))
+
+    def best(self, scores: np.ndarray) -> np.ndarray:
+        """Score of each document's best segment: the greatest rise of the running sum above its
+        least value so far, which a deep fall before each document starts anew."""
+        if not len(scores):
+            return np.zeros(0)
+        step = scores.copy()
+        fall = float(np.abs(scores).sum()) + 1.0
+        runs = np.cumsum(step)
+        doc = np.repeat(np.arange(len(self.lengths)), np.diff(self.starts))
+        sunk = runs - fall * doc
+        before = np.empty_like(sunk)
+        before[0] = 0.0
+        before[1:] = sunk[:-1]
+        first = self.starts[:-1]
+        before[first] = sunk[first] - scores[first]
+        least = np.minimum.accumulate(before)
+        return np.maximum(np.maximum.reduceat(sunk - least, first), 0.0)
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counted = pc.value_counts(pc.split_pattern(batch.column("words"), " ").flatten())
+        yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], names=["word", "n"])
+
+
+def word_counts(tokens: DataFrame) -> DataFrame:
+    """(word, n) of all tokens; "" counts the texts without any."""
+    return tokens.select("words").mapInArrow(_word_counts, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _inside(model: Model):
+    """(word, y) per batch: occurrences inside segments that score enough; "" counts them all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple[str, str], list[int]] = {}
-            for text in batch.column("text").to_pylist():
-                if model is None:
-                    tokens, found = raw_tokens(text), []
-                    lang = language(tokens)
-                else:
-                    lang, found, tokens = model.segments(text)
-                inside = {i for s, a, b in found if s >= LEAST_SCORE for i in range(a, b)}
-                sums.setdefault((lang, ""), [0, 0])[0] += len(tokens)
-                sums[(lang, "")][1] += len(inside)
-                for i, t in enumerate(tokens):
-                    word = t if model is None else model.known(t, lang) or t
-                    cell = sums.setdefault((lang, word), [0, 0])
-                    cell[0] += 1
-                    cell[1] += i in inside
-            keys = list(sums)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                    pa.array([sums[k][0] for k in keys], pa.int64()), pa.array([sums[k][1] for k in keys], pa.int64()),
-                ],
-                names=["lang", "word", "n", "inside"],
-            )
+            got = _Tokens(batch.column("words"))
+            told = [model.score(t) for t in got.different]
+            scores = np.array([s for s, _ in told])[got.at] if told else np.zeros(0)
+            sums: dict[str, int] = {}
+            for d in np.flatnonzero(got.best(scores) >= LEAST_SCORE).tolist():
+                first, last = int(got.starts[d]), int(got.starts[d + 1])
+                for s, a, b in segments(scores[first:last].tolist()):
+                    if s >= LEAST_SCORE:
+                        for at in got.at[first + a : first + b].tolist():
+                            sums[told[at][1]] = sums.get(told[at][1], 0) + 1
+                            sums[""] = sums.get("", 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], names=["word", "y"])
 
     return run
 
 
-def corpus_counts(texts: DataFrame, model: Model | None, candidates: frozenset[str]) -> tuple[dict[str, Counter], dict[str, Counter]]:
-    """(occurrences, occurrences inside abusive segments) in all documents, per language.
+def _meant(model: Model):
+    """(word, n) of the words that tokens are counted as."""
 
-    Without a model the candidates and the common words are counted (a share of all tokens, so at
-    most 1 / COMMON_SHARE words a language); with one, the candidates and all words that stand in
-    abusive segments more than once. "" counts all tokens.
-    """
-    parts = texts.select("text").where("text is not null").mapInArrow(_counting(model, candidates), "lang string, word string, n bigint, inside bigint")
-    sums = parts.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("inside").alias("inside"))
-    wanted = F.broadcast(texts.sparkSession.createDataFrame([(w,) for w in sorted(candidates | {""})], "word string").withColumn("wanted", F.lit(True)))
-    sums = sums.where("n >= 2 or inside > 0 or word = ''").join(wanted, "word", "left")
-    if model is None:
-        tokens = sum(r.n for r in sums.where("word = ''").collect())
-        sums = sums.where(F.col("wanted") | (F.col("n") >= max(5, COMMON_SHARE * tokens)))
-    else:
-        sums = sums.where(F.col("wanted") | (F.col("inside") > 1))
-    total, within = {k: Counter() for k in STRONG}, {k: Counter() for k in STRONG}
-    for r in sums.collect():
-        total[r.lang][r.word], within[r.lang][r.word] = r.n, r.inside
-    return total, within
-
-
-def _listed(lang: str) -> dict[str, float]:
-    """Assumed abusive occurrences of the listed words of a language."""
-    strong = {w: ASSUMED["strong"] for w in plain(STRONG[lang]).split()}
-    return {w: ASSUMED["weak"] for w in plain(WEAK[lang]).split()} | strong
-
-
-def first_model(abusive: dict[str, Counter], corpus: dict[str, Counter], seen: dict[str, Counter], common: dict[str, frozenset[str]]) -> Model:
-    """Model from the labelled documents and the lists.
-
-    A word that is not listed scores only if it is in more abusive documents than chance explains:
-    at the corpus' rate, the Poisson probability of so many must be below one in fifty, and they
-    must be LEAST_LIFT times as many as expected (ordinary words next to abuse are not).
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [model.score(t)[1] if t else "" for t in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), batch.column("n")], names=["word", "n"])
+
+    return run
+
+
+def first_model(labelled: dict[str, tuple[int, int, int]], own: int, total: int, counts: dict[str, int], common: frozenset[str]) -> Model:
+    """Model of the labelled documents and the list.
+
+    ``labelled`` has per word its occurrences and documents among the labelled ones, and its
+    occurrences in the corpus. A word that is not listed scores only if it is in more labelled
+    documents than chance explains: at the corpus' rate, the Poisson probability of so many must be
+    below one in fifty, and they must be LEAST_LIFT times as many as expected (ordinary words next
+    to abuse are not).
     """
-    scores, lams = {}, {}
-    for lang in STRONG:
-        total, own, listed = max(corpus[lang][""], 1), max(sum(abusive[lang].values()), 1), _listed(lang)
-        table: dict[str, float] = {}
-        for w in set(abusive[lang]) | set(listed):
-            share = (corpus[lang][w] + 0.5) / (total + 0.5)
-            y = abusive[lang][w]
-            if w not in listed and not _beyond_chance(seen[lang][w], share * own):
-                continue
-            up, down = y + PRIOR * share + listed.get(w, 0.0), corpus[lang][w] + PRIOR * share
-            delta = math.log(up / (own + PRIOR)) - math.log(down / (total + PRIOR))
-            table[w] = max(0.0, min(HIGHEST if listed.get(w) == ASSUMED["strong"] else HIGHEST / 1.75, delta))
-        scores[lang] = table
-        lams[lang] = _lambda(table, corpus[lang], total)
-    return Model(scores, lams, common)
+    listed, table = listed_words(), {}
+    base = max(float(own), total / 1000.0, 1.0)
+    weight = PRIOR * base
+    for w in set(labelled) | listed:
+        y, seen, n = labelled.get(w, (0, 0, counts.get(w, 0)))
+        share = (n + 0.5) / (total + 0.5)
+        if w not in listed and not _beyond_chance(seen, share * own):
+            continue
+        up, down = y + weight * share + (ASSUMED * base if w in listed else 0.0), n + weight * share
+        delta = math.log(up / (own + weight)) - math.log(down / (total + weight))
+        table[w] = max(0.0, min(HIGHEST if w in listed else HIGHEST / 1.75, delta))
+    return Model(table, common)
 
 
 def _beyond_chance(n: int, mean: float) -> bool:
@@ -297,74 +295,134 @@ def _beyond_chance(n: int, mean: float) -> bool:
     return 1.0 - below < 0.02
 
 
-def next_model(total: dict[str, Counter], within: dict[str, Counter], common: dict[str, frozenset[str]]) -> Model:
+def next_model(total: dict[str, int], within: dict[str, int], common: frozenset[str]) -> Model:
     """Log-odds of standing in abusive rather than in other text, under the Dirichlet prior.
 
-    The pseudo-counts of listed words are in proportion to the tokens, at every count.
+    ``total`` and ``within`` count words in all texts and in abusive segments, "" all tokens. The
+    pseudo-counts are in proportion to the tokens, at every count.
     """
-    scores, lams = {}, {}
-    for lang in STRONG:
-        tokens, inside, listed = max(total[lang][""], 1), within[lang][""], _listed(lang)
-        rate = (inside + 1.0) / (tokens + 2.0)
-        table: dict[str, float] = {}
-        for w in {w for w in total[lang] if w} | set(listed):
-            n, y = total[lang][w], within[lang][w]
-            up = y + SMOOTH * rate + listed.get(w, 0.0) / 4 * tokens / ASSUMED_PER
-            down = n - y + SMOOTH * (1.0 - rate)
-            table[w] = max(LOWEST, min(HIGHEST, math.log(up / down) + LIFT))
-        scores[lang] = table
-        lams[lang] = _lambda(table, total[lang], tokens)
-    return Model(scores, lams, common, LOWEST)
-
-
-def _lambda(table: dict[str, float], counts: Counter, total: int) -> float:
+    listed, tokens, inside = listed_words(), max(total.get("", 0), 1), within.get("", 0)
+    rate = (inside + 1.0) / (tokens + 2.0)
+    smooth, assumed = SMOOTH_PER * tokens / 1e6, ASSUMED_PER * tokens / 1e6
+    table: dict[str, float] = {}
+    for w in {w for w, y in within.items() if w and y > 1} | listed:
+        n, y = total.get(w, 0), within.get(w, 0)
+        up = y + smooth * rate + (assumed if w in listed else 0.0)
+        down = max(n - y, 0) + smooth * (1.0 - rate)
+        table[w] = max(LOWEST, min(HIGHEST, math.log(up / down) + LIFT))
+    return Model(table, common, LOWEST, _lambda(table, total, tokens))
+
+
+def _lambda(table: dict[str, float], counts: dict[str, int], total: int) -> float:
     """The positive root of mean(exp(lambda * score)) = 1 over the corpus' tokens."""
-    known = [(counts[w] / total, s) for w, s in table.items() if counts[w]]
+    known = [(counts[w] / total, s) for w, s in table.items() if counts.get(w)]
     rest = max(0.0, 1.0 - sum(p for p, _ in known))
 
     def excess(x: float) -> float:
         return sum(p * math.exp(x * s) for p, s in known) + rest * math.exp(x * DRIFT) - 1.0
 
-    low, high = 1e-3, 3.0
-    if excess(high) < 0:
-        return high
-    for _ in range(60):
+    low, high = 0.0, 20.0
+    for _ in range(80):
         mid = (low + high) / 2
-        if excess(mid) < 0:
-            low = mid
-        else:
-            high = mid
-    return max(low, 0.2)
-
-
-def train(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELS, rounds: int = ROUNDS) -> Model:
-    """Model of the labelled documents, then of the segments that it finds in the whole corpus."""
-    known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = (
-        documents.join(known.where("toxic = 1"), "doc_id").where("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id")).limit(most).collect()
-    )
-    bad = [raw_tokens(r.text) for r in sample]
-    listed = frozenset(w for lang in STRONG for w in _listed(lang))
-    total, _ = corpus_counts(documents, None, listed | {t for tokens in bad for t in tokens})
-    whole, seen = {k: Counter() for k in STRONG}, {k: Counter() for k in STRONG}
-    for tokens in bad:
-        lang = language(tokens)
-        whole[lang].update(tokens)
-        seen[lang].update(set(tokens))
-    every = sum(total[lang][""] for lang in STRONG)
-    common = {lang: frozenset(w for w, n in total[lang].items() if n >= max(5, COMMON_SHARE * every)) for lang in STRONG}
-    model = first_model(whole, total, seen, common)
+        low, high = (mid, high) if excess(mid) < 0 else (low, mid)
+    return max(low, 1e-3)
+
+
+def fitted_k(bins: list[tuple[float, int, int]], lam: float, low: float = LEAST_PART / 2, high: float = LEAST_SCORE) -> float:
+    """K by maximum likelihood from (best score, documents, tokens) of all documents; scores below
+    ``low`` and from ``high`` on, where chance ends, are censored."""
+    middle = [b for b in bins if low <= b[0] < high]
+    below = sum(t for s, _, t in bins if s < low) * math.exp(-lam * low)
+    above = [(d, t / d * math.exp(-lam * high)) for s, d, t in bins if s >= high and d and t]
+    chance = sum(t * math.exp(-lam * s) for s, _, t in middle) + below
+    number = sum(d for _, d, _ in middle)
+    if not chance:
+        return 1.0
+
+    def slope(k: float) -> float:
+        return number / k - chance + sum(d * x / math.expm1(min(k * x, 500.0)) for d, x in above)
+
+    a, b = 1e-12, 1e6
+    for _ in range(200):
+        mid = math.sqrt(a * b)
+        a, b = (mid, b) if slope(mid) > 0 else (a, mid)
+    return a
+
+
+def expectation(parts: list[float], tokens: int, lam: float, k: float) -> float:
+    """Expected number of documents' worth of chance: the least over the r best segments of
+    exp(-T) T^(r-1) / (r! (r-1)!), T being the sum of lambda * score - ln(K tokens), each r at half
+    the weight of the one before; one segment's is K tokens exp(-lambda score)."""
+    space = max(k * tokens, 1e-12)
+    best, sum_, weight = space, 0.0, 1.0
+    for r, s in enumerate(sorted(parts, reverse=True), 1):
+        sum_ += lam * s - math.log(space)
+        if r == 1:
+            best = min(best, math.exp(-sum_))
+        elif sum_ > 0:
+            chance = math.exp(-sum_ + (r - 1) * math.log(sum_) - math.lgamma(r + 1) - math.lgamma(r))
+            best = min(best, chance * weight)
+        weight *= 2.0
+    return best
+
+
+def train(tokens: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
+    """Model of the labelled documents, then of the segments that it finds in the whole corpus.
+
+    To the driver come the common words (at most 1 / COMMON_SHARE), the words that labelled
+    documents hold beyond chance, and those that stand in abusive segments more than once.
+    """
+    counts = cut(word_counts(tokens))
+    total = int(counts.where("word <> ''").agg(F.sum("n")).first()[0] or 0)
+    common = frozenset(r.word for r in counts.where(F.col("n") >= max(5, COMMON_SHARE * total)).select("word").collect()) - {""}
+    bad = labels.where("toxic = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    known = tokens.join(bad, "doc_id", "left_semi").select(F.monotonically_increasing_id().alias("row"), F.split("words", " ").alias("w"))
+    per_document = known.select("row", F.explode("w").alias("word")).where("word <> ''").groupBy("row", "word").agg(F.count("*").alias("y"))
+    seen = cut(per_document.groupBy("word").agg(F.sum("y").alias("y"), F.count("*").alias("seen")))
+    own = int(seen.agg(F.sum("y")).first()[0] or 0)
+    listed = sorted(listed_words())
+    enough = (F.col("seen") >= 2) & (F.col("seen") >= F.lit(LEAST_LIFT * own / max(total, 1)) * F.col("n")) | F.col("word").isin(listed)
+    chosen = seen.join(counts, "word").where(enough).collect()
+    listed_counts = {r.word: r.n for r in counts.where(F.col("word").isin(listed)).collect()}
+    model = first_model({r.word: (r.y, r.seen, r.n) for r in chosen}, own, total, listed_counts, common)
     for _ in range(rounds):
-        model = next_model(*corpus_counts(documents, model, listed), common)
+        inside = tokens.select("words").mapInArrow(_inside(model), "word string, y bigint").groupBy("word").agg(F.sum("y").alias("y")).where("y > 1")
+        meant = counts.mapInArrow(_meant(model), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        rows = meant.join(inside, "word", "left").where(F.col("y").isNotNull() | F.col("word").isin(listed)).collect()
+        within = {r.word: r.y for r in rows if r.y}
+        within[""] = sum(within.values())
+        model = next_model({r.word: r.n for r in rows} | {"": total}, within, common)
     return model
 
 
 def _rating(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [model.rate(t) if t else (0.0, 0.0, 0) for t in batch.column("text").to_pylist()]
+            got = _Tokens(batch.column("words"))
+            told = [model.score(t)[0] if t else 0.0 for t in got.different]
+            scores = np.array(told)[got.at] if told else np.zeros(0)
+            best = got.best(scores)
+            parts: list[list[float]] = [[] for _ in range(batch.num_rows)]
+            for d in np.flatnonzero(best >= LEAST_PART).tolist():
+                found = segments(scores[got.starts[d] : got.starts[d + 1]].tolist())
+                parts[d] = [s for s, _, _ in found if s >= LEAST_PART]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("source"), pa.array(got.lengths, pa.int64()), pa.array(best, pa.float64()), pa.array(parts, pa.list_(pa.float64()))],
+                names=["doc_id", "source", "tokens", "score", "parts"],
+            )
+
+    return run
+
+
+def _expected(lam: float, k: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            expected, passages = [], []
+            for n, score, parts in zip(*(batch.column(c).to_pylist() for c in ("tokens", "score", "parts"))):
+                expected.append(expectation(parts or [score], n, lam, k))
+                passages.append(sum(s >= LEAST_SCORE and k * n * math.exp(-lam * s) <= MOST_EXPECTED for s in parts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("source"), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int32())],
+                [batch.column("doc_id"), batch.column("source"), batch.column("score"), pa.array(expected, pa.float64()), pa.array(passages, pa.int32())],
                 names=["doc_id", "source", "score", "expected", "passages"],
             )
 
@@ -373,9 +431,13 @@ def _rating(model: Model):
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, source, score, expected, passages) of every document."""
-    model = train(documents, labels)
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text")
-    return rows.mapInArrow(_rating(model), "doc_id bigint, source string, score double, expected double, passages int")
+    tokens, remove = written(tokenised(documents))
+    model = train(tokens, labels)
+    rated = cut(tokens.mapInArrow(_rating(model), "doc_id bigint, source string, tokens bigint, score double, parts array<double>"))
+    remove()
+    bins = rated.groupBy(F.round("score", 1).alias("s")).agg(F.count("*").alias("d"), F.sum("tokens").alias("t")).collect()  # tenths of a score
+    k = fitted_k([(r.s, r.d, r.t) for r in bins], model.lam)
+    return rated.mapInArrow(_expected(model.lam, k), "doc_id bigint, source string, score double, expected double, passages int")
 
 
 def rates(documents: DataFrame, labels: DataFrame) -> DataFrame:
