@@ -310,6 +310,47 @@ def test_mix_reaches_its_shares(spark):
     assert used.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("t")).where("source = 'big'").first().t == rows["big"].mixed_tokens
 
 
+@pytest.mark.parametrize(("budget", "want"), [(4_000, {"big": 1_000, "small": 3_000}), (400, {"big": 320, "small": 80}), (10**9, {"big": 1_000, "small": 9_000})])
+def test_mix_spends_a_given_budget(spark, monkeypatch, budget, want):
+    docs = [(i, "word " * 9 + "word", "big" if i < 100 else "small") for i in range(1000)]
+    targets = spark.createDataFrame([("big", 0.8, 1), ("small", 0.2, 1)], "source string, target_share double, max_repeats int")
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 50)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    per = frame.count() and mixing.token_counts(frame).groupBy("source").agg(F.sum("tokens").alias("t")).collect()
+    each = {r.source: r.t for r in per}
+    assert each == {"big": 1_000, "small": 9_000}
+    _, report = mixing.mixed(frame, targets, budget)
+    got = {r.source: r.mixed_tokens for r in report.collect()}
+    assert all(abs(got[s] - want[s]) <= 10 for s in want) and sum(got.values()) > min(budget, 10_000) - 10
+
+
+def test_mix_against_plain_queueing(spark, monkeypatch):
+    rng = random.Random(12)
+    docs = [(i, "word " * rng.randrange(1, 40), rng.choice("aaab") if i % 9 else "c") for i in range(600)]
+    share, repeats = {"a": 0.2, "b": 0.5, "c": 0.3}, {"a": 1, "b": 2, "c": 4}
+    targets = spark.createDataFrame([(s, share[s], repeats[s]) for s in share], "source string, target_share double, max_repeats int")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    size = {r.doc_id: (r.source, r.tokens) for r in mixing.token_counts(frame).collect()}
+    place = {r.doc_id: r.p for r in frame.select("doc_id", F.xxhash64(F.lit(17), "doc_id").alias("p")).collect()}
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 40)
+    for budget in (700, 9_000, 14_000):
+        queue = []
+        for s in share:
+            total = 0
+            for k in range(repeats[s]):
+                for d in sorted((d for d in size if size[d][0] == s), key=lambda d: (place[d], d)):
+                    total += size[d][1]
+                    queue.append((total / share[s], s, d, k))
+        want, total = defaultdict(int), 0
+        for _, s, d, _ in sorted(queue):
+            total += size[d][1]
+            if total > budget:
+                break
+            want[d] += 1
+        got = {r.doc_id: r.copies for r in mixing.mixed(frame, targets, budget)[0].collect()}
+        assert got == want, budget
+
+
 def test_running_sum_against_plain_sum(spark):
     rng = random.Random(4)
     rows = [(g, i, rng.randrange(100)) for g in "ab" for i in range(500)]
