@@ -285,6 +285,33 @@ def test_leaks(spark):
     assert {tuple(r) for r in contamination.leaks(*frames, broadcast_seeds=10).collect()} == want  # the joined way
 
 
+def test_layouts_of_one_item_are_one_item(spark):
+    _, some = passages(4)
+    words, other = some(30), some(30)
+    items = [(1, " ".join(words)), (2, "  ".join(words).upper()), (3, ", ".join(words) + "."), (4, " ".join(other))]
+    docs = spark.createDataFrame([(1, " ".join(some(20) + words + some(20)), "s")], "doc_id bigint, text string, source string")
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    assert sorted(tuple(r) for r in contamination.leaks(docs, frame).collect()) == [(1, 1), (1, 2), (1, 3)]
+
+
+def test_phrases_that_many_items_share_still_find(spark):
+    _, some = passages(5)
+    phrases = [some(4) for _ in range(10)]
+    items = [(i, " ".join(w for p in phrases[i % 10 :] + phrases[: i % 10] for w in [*p, f"own{i}a", f"own{i}b", f"own{i}c"])) for i in range(40)]
+    docs = spark.createDataFrame([(1, "before " + " ".join(items[7][1].split()[3:25]) + " after", "s")], "doc_id bigint, text string, source string")
+    assert [tuple(r) for r in contamination.leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()] == [(1, 7)]
+
+
+def test_seeds_of_a_batch_are_those_of_its_texts():
+    rng, some = passages(2)
+    texts = [" ".join(some(rng.randrange(0, 12))) for _ in range(50)] + [None, ""]
+    lists = [contamination.tokens(t or "") for t in texts]
+    got = sorted(zip(*(x.tolist() for x in contamination.batch_seeds(lists))))
+    coder = contamination.Coder()
+    want = [(i, int(p), int(h)) for i, words in enumerate(lists) for at, hs in contamination.seed_hashes(coder(words)) for p, h in zip(at, hs.view("int64"))]
+    assert got == sorted(want)
+
+
 # 9. mixing
 
 

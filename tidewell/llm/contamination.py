@@ -2,15 +2,18 @@
 
 Spaced seeds: fixed masks over token positions, most of which ignore some positions inside their
 span, so a replaced or misspelt word leaves other seeds intact. Hashes of the test items' seeds
-meet those of the documents; around each hit the two texts are compared word by word, and a
-document leaks an item when a run of at least ``MIN_WORDS`` of the item's words, with at most
+meet those of the documents; where two seeds of an item begin ``NEAREST`` to ``WINDOW`` words apart
+in a document, shifted against the item by about as much, the two texts are compared word by word,
+and a document leaks an item when a run of at least ``MIN_WORDS`` of the item's words, with at most
 ``MAX_ERRORS`` of them replaced, misspelt or left out, stands in it in order.
 
-Seeds that several items share (instruction sentences) neither hit nor count as evidence.
+Runs of ``SHARED_RUN`` words that several items share (instruction sentences) are no evidence, and
+seeds within them find nothing; items are told apart by their words, not by their layout. Ordinary
+short phrases that many items have are still seeds: what they bring is verified, not dropped.
 
-The test side is a benchmark: as long as its seeds number at most ``BROADCAST_SEEDS`` their sorted
-hashes are sent to the tasks and only documents with hits are shuffled; a larger benchmark is
-joined by hash instead, with the same result.
+The test side is a benchmark: as long as its seeds number at most ``BROADCAST_SEEDS`` and its words
+fill at most ``BROADCAST_BYTES``, both are sent to the tasks, which verify on the spot, and no
+document is shuffled; a larger benchmark is joined by hash instead, with the same result.
 
 Defined results: NULL and empty texts leak nothing; a document repeated under several ids is
 reported under each; item texts repeated under several ids are all reported, and their common
@@ -29,16 +32,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Positions that a seed looks at.
 MASKS = ((0, 1, 2, 3), (0, 1, 3, 4), (0, 2, 3, 5), (0, 1, 4, 6))
 MIN_WORDS = 15
 MAX_ERRORS = 0.2
 #: Right words that an error costs when the best end of a run is looked for.
 ERROR_COST = 3
-#: A seed in more different item texts than this is part of an instruction.
-SHARED_ITEMS = 2
-#: Seeds of test items up to which their hashes (8 bytes each, 32 MB) are broadcast.
+#: A run of so many words in more different items than this, and than this share of all items, is
+#: part of an instruction.
+SHARED_RUN = 6
+SHARED_ITEMS, SHARED_SHARE = 2, 0.001
+#: Seeds of test items (12 bytes each, 48 MB) and bytes of their words up to which they are broadcast.
 BROADCAST_SEEDS = 4_000_000
+BROADCAST_BYTES = 64_000_000
+#: Words of a document between two seeds of an item, and difference of their places in the item from
+#: those in the document up to which they belong together. With two of fifteen words replaced or
+#: left out, however placed, seeds that lie so remain; equal six words bring none.
+NEAREST, WINDOW = 3, 25
+DRIFT = 8
 
 _TOKEN = re.compile(r"[^\W_]+")
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
@@ -48,19 +61,25 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+def _mixed(codes: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarray:
+    """Hashes of the words under a mask at every place."""
+    n = max(0, len(codes) - mask[-1])
+    h = np.full(n, number + 1, np.uint64)
+    for k, shift in enumerate(mask):
+        h = (h ^ codes[shift : shift + n]) * _PRIMES[k % len(_PRIMES)]
+        h ^= h >> np.uint64(29)
+    return h
+
+
 def seed_hashes(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per mask (positions, hashes) of a text given as codes of its words."""
-    out = []
-    for number, mask in enumerate(MASKS):
-        n = len(codes) - mask[-1]
-        if n <= 0:
-            continue
-        h = np.full(n, number + 1, np.uint64)
-        for k, shift in enumerate(mask):
-            h = (h ^ codes[shift : shift + n]) * _PRIMES[k]
-            h ^= h >> np.uint64(29)
-        out.append((np.arange(n), h))
-    return out
+    found = [_mixed(codes, mask, number) for number, mask in enumerate(MASKS)]
+    return [(np.arange(len(h)), h) for h in found if len(h)]
+
+
+def run_hashes(codes: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of SHARED_RUN words."""
+    return _mixed(codes, tuple(range(SHARED_RUN)), len(MASKS)).view(np.int64)
 
 
 class Coder:
@@ -81,27 +100,142 @@ class Coder:
         return out
 
 
-def _seeds(key: str, text: str):
+def batch_seeds(lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the text, place in it, seed) of all seeds of texts given as words, each different word hashed once."""
+    coded = pa.array([w for words in lists for w in words], pa.string()).dictionary_encode()
+    codes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    codes = codes[coded.indices.to_numpy(zero_copy_only=False)] if len(codes) else codes
+    lengths = np.array([len(words) for words in lists], np.int64)
+    of = np.repeat(np.arange(len(lists)), lengths)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    texts, places, seeds = [], [], []
+    for number, mask in enumerate(MASKS):
+        h = _mixed(codes, mask, number)
+        inside = of[: len(h)] == of[mask[-1] : mask[-1] + len(h)]  # a seed lies in one text
+        texts.append(of[: len(h)][inside])
+        places.append(at[: len(h)][inside])
+        seeds.append(h[inside])
+    return np.concatenate(texts), np.concatenate(places), np.concatenate(seeds).view(np.int64)
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item_id, item): the words of an item joined by spaces."""
+    for batch in batches:
+        words = pa.array([" ".join(tokens(t)) for t in batch.column("text").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), words], names=["item_id", "item"])
+
+
+def _item_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    coder = Coder()
+    for batch in batches:
+        ids, runs = [], []
+        for i, item in zip(batch.column("item_id").to_pylist(), batch.column("item").to_pylist()):
+            h = np.unique(run_hashes(coder(item.split(" "))))
+            ids += [i] * len(h)
+            runs += h.tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(runs, pa.int64())], names=["item_id", "run"])
+
+
+def item_seeds(words: list[str], told: list[bool], coder: Coder) -> dict[int, int]:
+    """Seeds that hold at least one word of evidence with their place, -1 where they recur."""
+    codes, evidence, own = coder(words), np.array(told), {}
+    for number, mask in enumerate(MASKS):
+        h = _mixed(codes, mask, number).view(np.int64)
+        some = np.zeros(len(h), bool)
+        for shift in mask:
+            some |= evidence[shift : shift + len(h)]
+        for place in np.flatnonzero(some).tolist():
+            seed = int(h[place])
+            own[seed] = -1 if seed in own else place
+    return own
+
+
+def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    coder = Coder()
+    for batch in batches:
+        ids, seeds, places = [], [], []
+        for i, item, common in zip(*(batch.column(c).to_pylist() for c in ("item_id", "item", "common"))):
+            words = item.split(" ")
+            own = item_seeds(words, evidence_of(words, set(common or ()), coder), coder)
+            ids += [i] * len(own)
+            seeds += list(own)
+            places += list(own.values())
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, seeds, places)], names=["item_id", "seed", "place"])
+
+
+def _text_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, seed) of the documents' seeds, each once a document."""
+    for batch in batches:
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        of, _, seeds = batch_seeds([tokens(t) for t in batch.column("text").to_pylist()])
+        order = np.lexsort((seeds, of))
+        of, seeds = of[order], seeds[order]
+        new = np.ones(len(of), bool)
+        new[1:] = (of[1:] != of[:-1]) | (seeds[1:] != seeds[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[of[new]], pa.int64()), pa.array(seeds[new], pa.int64())], names=["id", "seed"])
+
+
+class Items:
+    """The sorted seeds of the test items, each with its place or -1 where it recurs in the item, and their words."""
+
+    def __init__(self, seeds: np.ndarray, owners: np.ndarray, places: np.ndarray, ids: list[int], words: list[str], shared: list[list[int] | None]):
+        order = np.argsort(seeds, kind="stable")
+        number = {i: n for n, i in enumerate(ids)}
+        self.seeds, self.places, self.owners = seeds[order], places[order], np.array([number[i] for i in owners[order].tolist()], np.int64)
+        self.ids, self.words, self.shared = ids, words, shared
+        self.read: dict[int, tuple[list[str], list[bool]]] = {}
+
+    def item(self, n: int, coder: Coder) -> tuple[list[str], list[bool]]:
+        if n not in self.read:
+            own = self.words[n].split(" ")
+            self.read[n] = own, evidence_of(own, set(self.shared[n] or ()), coder)
+        return self.read[n]
+
+    def met(self, lists: list[list[str]]) -> np.ndarray:
+        """(number of the text, number of the item) of the places worth a comparison."""
+        of, at, seeds = batch_seeds(lists)
+        first = np.searchsorted(self.seeds, seeds, "left")
+        found = (first < len(self.seeds)) & (self.seeds[np.minimum(first, len(self.seeds) - 1)] == seeds)
+        of, at, seeds, first = of[found], at[found], seeds[found], first[found]
+        number = np.searchsorted(self.seeds, seeds, "right") - first
+        each = np.repeat(np.arange(len(of)), number)
+        entry = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(number) - number, number)
+        at, place = at[each], self.places[entry]
+        pair = of[each] * len(self.ids) + self.owners[entry]
+        free = np.isin(pair, pair[place < 0])  # recurring seeds tell no shift
+        shift = np.where(free, 0, at - place)
+        kept = np.concatenate([pair[self._near(pair, (shift + move) // (2 * DRIFT), at)] for move in (0, DRIFT)])
+        kept = np.unique(kept)
+        return np.stack([kept // len(self.ids), kept % len(self.ids)], 1) if len(kept) else np.empty((0, 2), np.int64)
+
+    @staticmethod
+    def _near(pair: np.ndarray, band: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Indices of hits after which another of the pair and band begins NEAREST to WINDOW words later."""
+        order = np.lexsort((at, band, pair))
+        pair, band, at = pair[order], band[order], at[order]
+        new = np.ones(len(pair), bool)
+        new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])
+        key = np.cumsum(new) * (int(at.max(initial=0)) + 2 * WINDOW) + at
+        after = np.searchsorted(key, key + NEAREST)
+        return order[(after < len(key)) & (key[np.minimum(after, len(key) - 1)] <= key + WINDOW)]
+
+
+def _on_the_spot(items: Items, least: int, errors: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
         for batch in batches:
-            ids, places, seeds = [], [], []
-            for i, value in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist()):
-                for at, hashes in seed_hashes(coder(tokens(value or ""))):
-                    ids.append(np.full(len(at), i, np.int64))
-                    places.append(at)
-                    seeds.append(hashes.view(np.int64))
-            join = lambda parts: pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([join(ids), join(places), join(seeds)], names=["id", "at", "seed"])
+            ids, lists = batch.column("doc_id").to_pylist(), [tokens(t) for t in batch.column("text").to_pylist()]
+            docs, found = [], []
+            for d, n in items.met(lists).tolist():
+                words, evidence = items.item(n, coder)
+                if leaked(words, lists[d], evidence, coder, least, errors):
+                    docs.append(ids[d])
+                    found.append(items.ids[n])
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.int64())], names=["doc_id", "item_id"])
 
     return run
 
 
-def seeds_of(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, at, seed) for every mask at every position."""
-    return df.select(F.col(key).cast("bigint").alias(key), text).where(F.col(text).isNotNull()).mapInArrow(_seeds(key, text), "id bigint, at bigint, seed bigint")
-
-
 def align(item: list[str], doc: list[str], evidence: list[bool], i: int, j: int, least: int, most: float) -> tuple[bool, int, int]:
     """Extends the equal words item[i] = doc[j] both ways, word by word.
 
@@ -187,53 +321,31 @@ def leaked(item: list[str], doc: list[str], evidence: list[bool], coder: Coder,
 
 
 def evidence_of(item: list[str], shared: set[int], coder: Coder) -> list[bool]:
-    """False for the words that lie within a seed shared by several items."""
+    """False for the words that lie within a run shared by several items."""
     told = [True] * len(item)
-    for mask, (at, hashes) in zip(MASKS, seed_hashes(coder(item))):
-        if mask[-1] != len(mask) - 1:
-            continue
-        for p, h in zip(at.tolist(), hashes.view(np.int64).tolist()):
+    if shared:
+        for p, h in enumerate(run_hashes(coder(item)).tolist()):
             if h in shared:
-                told[p : p + len(mask)] = [False] * len(mask)
+                told[p : p + SHARED_RUN] = [False] * SHARED_RUN
     return told
 
 
-def _hits(known: np.ndarray, key: str, text: str):
-    """(id, seed) of the documents' seeds that a test item has too, each once a document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder()
-        for batch in batches:
-            ids, seeds = [], []
-            for i, value in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist()):
-                own = [h.view(np.int64) for _, h in seed_hashes(coder(tokens(value or "")))]
-                if not own:
-                    continue
-                h = np.unique(np.concatenate(own))
-                spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                h = h[known[spot] == h]
-                if len(h):
-                    ids += [i] * len(h)
-                    seeds.append(h)
-            found = np.concatenate(seeds) if seeds else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.int64())], names=["id", "seed"])
-
-    return run
-
-
 def _verify(least: int, errors: float):
+    """The same on rows of (document, item) that share seeds."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
         for batch in batches:
-            docs, items = [], []
             columns = [batch.column(c).to_pylist() for c in ("id", "item_id", "text", "item", "common")]
-            for doc_id, item_id, text, item, common in zip(*columns):
-                words = tokens(item)
-                evidence = evidence_of(words, set(common or ()), coder)
-                if leaked(words, tokens(text), evidence, coder, least, errors):
-                    docs.append(doc_id)
-                    items.append(item_id)
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(items, pa.int64())], names=["doc_id", "item_id"])
+            own = {i: (item, common) for _, i, _, item, common in zip(*columns)}
+            tables = [(i, item_seeds(words := item.split(" "), evidence_of(words, set(common or ()), coder), coder)) for i, (item, common) in own.items()]
+            seeds, places = (np.array([x for _, t in tables for x in side(t)], np.int64) for side in (list, dict.values))
+            owners = np.array([i for i, t in tables for _ in t], np.int64)
+            known = Items(seeds, owners, places, list(own), [v[0] for v in own.values()], [v[1] for v in own.values()])
+            lists = [tokens(t) for t in columns[2]]
+            rows = [(d, n) for d, n in known.met(lists).tolist() if known.ids[n] == columns[1][d]]
+            hits = [(columns[0][d], columns[1][d]) for d, n in rows if leaked(known.item(n, coder)[0], lists[d], known.item(n, coder)[1], coder, least, errors)]
+            yield pa.RecordBatch.from_arrays([pa.array([h[k] for h in hits], pa.int64()) for k in (0, 1)], names=["doc_id", "item_id"])
 
     return run
 
@@ -247,27 +359,29 @@ def leaks(
     broadcast_seeds: int = BROADCAST_SEEDS,
 ) -> DataFrame:
     """(doc_id, item_id) of every document that contains a passage of an item."""
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("item")).where("item is not null")
-    different = items.groupBy(F.lower("item").alias("_t")).agg(F.min("item_id").alias("item_id"))
-    all_seeds = seeds_of(items, "item_id", "item")
-    heads = all_seeds.join(different.select(F.col("item_id").alias("id")), "id", "left_semi")
-    often = heads.groupBy("seed").agg(F.count_distinct("id").alias("n")).where(F.col("n") > shared_items).select("seed")
-    seeds = all_seeds.join(often, "seed", "left_anti").select(F.col("id").alias("item_id"), "seed").distinct()
-    common = all_seeds.join(often, "seed", "left_semi").groupBy("id").agg(F.collect_set("seed").alias("common"))
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("item_id is not null and text is not null")
+    items = cut(rows.mapInArrow(_item_words, "item_id bigint, item string").where("item <> ''").distinct())
+    different = cut(items.groupBy("item").agg(F.min("item_id").alias("item_id")))
+    several = max(float(shared_items), SHARED_SHARE * different.count())
+    runs = different.mapInArrow(_item_runs, "item_id bigint, run bigint")
+    often = runs.groupBy("run").agg(F.count("*").alias("n")).where(F.col("n") > several).select("run")
+    common = runs.join(often, "run", "left_semi").groupBy("item_id").agg(F.collect_set("run").alias("common"))  # of one item's words
+    told = cut(different.join(common, "item_id", "left"))
+    seeds = cut(told.mapInArrow(_item_seeds, "item_id bigint, seed bigint, place bigint"))
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    few = seeds.select("seed").distinct().limit(broadcast_seeds + 1).toArrow().column(0).to_numpy()
-    if len(few) == 0:
+    found_in = "doc_id bigint, item_id bigint"
+    size = told.agg(F.coalesce(F.sum(F.length("item")), F.lit(0))).first()[0]
+    few = seeds.limit(broadcast_seeds + 1).toArrow() if size <= BROADCAST_BYTES else None
+    if few is not None and few.num_rows == 0:
         return items.where("false").select(F.col("item_id").alias("doc_id"), "item_id")
-    if len(few) <= broadcast_seeds:
-        hit = texts.mapInArrow(_hits(np.sort(few), "doc_id", "text"), "id bigint, seed bigint")
+    if few is not None and few.num_rows <= broadcast_seeds:
+        own = told.collect()  # no more words than BROADCAST_BYTES
+        known = Items(*(few.column(c).to_numpy() for c in ("seed", "item_id", "place")), [r.item_id for r in own], [r.item for r in own], [r.common for r in own])
+        found = texts.mapInArrow(_on_the_spot(known, least, errors), found_in).distinct()
     else:
-        hit = seeds_of(texts, "doc_id", "text").select("id", "seed").distinct()
-    # A passage of the least length and the most errors still keeps more than two seeds.
-    pairs = hit.join(seeds, "seed").groupBy("id", "item_id").agg(F.count("*").alias("n")).where("n >= 2").select("id", "item_id")
-    whole = (
-        pairs.join(texts.withColumnRenamed("doc_id", "id"), "id")
-        .join(items.distinct(), "item_id")
-        .join(common.withColumnRenamed("id", "item_id"), "item_id", "left")
-        .select("id", "item_id", "text", "item", "common")
-    )
-    return whole.mapInArrow(_verify(least, errors), "doc_id bigint, item_id bigint").distinct()
+        hit = texts.mapInArrow(_text_seeds, "id bigint, seed bigint")
+        pairs = hit.join(seeds, "seed").groupBy("id", "item_id").agg(F.count("*").alias("n")).where("n >= 2").select("id", "item_id")
+        whole = pairs.join(told, "item_id").join(texts.withColumnRenamed("doc_id", "id"), "id").select("id", "item_id", "text", "item", "common")
+        found = whole.mapInArrow(_verify(least, errors), found_in).distinct()
+    same = items.join(different.withColumnRenamed("item_id", "head"), "item").select("head", F.col("item_id").alias("every"))
+    return found.join(same, F.col("item_id") == F.col("head")).select("doc_id", F.col("every").alias("item_id")).distinct()
