@@ -38,7 +38,8 @@ def canonical_doi(text: Column) -> Column:
     """Prefix and suffix in lower case of a DOI in any writing; NULL where the text is no DOI."""
     bare = F.regexp_replace(F.lower(text), r"%2f", "/")
     bare = F.regexp_replace(bare, r"^[\s\p{Z}]*(?:https?:/+)?(?:(?:dx\.|www\.)?doi\.org/+)?(?:doi[\s\p{Z}]*:?[\s\p{Z}]*)?", "")
-    return F.nullif(F.regexp_extract(bare, r"^(10\.\d{3,9}/[^\s\p{Z}]*[\p{L}\p{N})])[\p{P}\s\p{Z}]*$", 1), F.lit(""))
+    found = F.nullif(F.regexp_extract(bare, r"^(10\.\d{3,9}/[^\s\p{Z}]*[\p{L}\p{N})])[\p{P}\s\p{Z}]*$", 1), F.lit(""))
+    return F.when(F.contains(text, F.lit("10.")), found)  # spares most titles the patterns
 
 
 def title_and_doi(title: Column, doi: Column) -> tuple[Column, Column]:
