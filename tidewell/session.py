@@ -68,5 +68,5 @@ def written(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Partitions enough to use every core where the input has too few files."""
-    context = df.sparkSession.sparkContext
-    return df.repartition(max(context.defaultParallelism, 1), *keys)
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "1"))), *keys)
