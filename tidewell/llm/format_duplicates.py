@@ -20,7 +20,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, written
 
 PLACEHOLDERS = ("na", "n/a", "-", "nan", "null", "none", "")
 
@@ -42,13 +42,10 @@ def canonical_doi(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("10.")), found)  # spares most titles the patterns
 
 
-def title_and_doi(title: Column, doi: Column) -> tuple[Column, Column]:
-    """Which of two columns holds the DOI is told by its form; both are returned canonical."""
-    swapped = canonical_doi(title).isNotNull() & canonical_doi(doi).isNull()
-    return (
-        canonical_text(F.when(swapped, doi).otherwise(title)),
-        F.when(swapped, canonical_doi(title)).otherwise(canonical_doi(doi)),
-    )
+def title_and_doi(title: Column, doi: Column, in_title: Column, in_doi: Column) -> tuple[Column, Column]:
+    """Which of two columns holds the DOI is told by their DOIs ``in_title`` and ``in_doi``; both are returned canonical."""
+    swapped = in_title.isNotNull() & in_doi.isNull()
+    return canonical_text(F.when(swapped, doi).otherwise(title)), F.when(swapped, in_title).otherwise(in_doi)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,12 +74,15 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def adjacent_runs(records: DataFrame, key: Column, order: Column) -> DataFrame:
     """Columns ``key``, ``order_value`` and ``first``: of each record the least order value among
     the records with an equal full key. Records with a NULL key are left out."""
-    keyed = records.select(key.alias("_key"), order.cast("bigint").alias("_order")).where("_key is not null")
+    # The key is computed once: sampling and shuffle, and a filter pushed below it, read it again.
+    keyed, remove = written(records.select(key.alias("_key"), order.cast("bigint").alias("_order")))
+    keyed = keyed.where("_key is not null")
     placed = keyed.repartitionByRange(F.col("_key"), F.col("_order")).withColumn("_part", F.spark_partition_id())
     ordered = placed.sortWithinPartitions("_key", "_order")
     scanned = cut(
         ordered.select("_key", "_order", "_part").mapInArrow(_scan, "_part int, _order bigint, _head bigint, _run bigint, _key string")
     )
+    remove()
     # Only the first run of a partition can have begun in another: at most one row per partition.
     opening = scanned.where("_run = 1").groupBy("_part").agg(F.first("_key").alias("_key"))
     begun = scanned.join(F.broadcast(opening.select("_key").distinct()), "_key", "left_semi")
@@ -98,17 +98,29 @@ def collapse(records: DataFrame, key: Column, order: Column) -> DataFrame:
     return adjacent_runs(records, key, order).groupBy("first").agg(F.first("key").alias("key"), F.count("*").alias("copies"))
 
 
-def record_key(title: Column, doi: Column) -> Column:
-    """Full key of title and DOI in canonical form; NULL where both are missing."""
-    name, number = title_and_doi(title, doi)
-    return F.when(
-        name.isNotNull() | number.isNotNull(), F.concat(F.coalesce(name, F.lit("")), F.lit("\x1f"), F.coalesce(number, F.lit("")))
-    )
+def record_key(title: Column, doi: Column, in_title: Column | None = None, in_doi: Column | None = None) -> Column:
+    """Full key of title and DOI in canonical form; NULL where both are missing. ``in_title`` and
+    ``in_doi`` may give the DOIs found in the columns, so that they are not looked for repeatedly."""
+    name, number = title_and_doi(title, doi, canonical_doi(title) if in_title is None else in_title, canonical_doi(doi) if in_doi is None else in_doi)
+    whole = F.concat(F.coalesce(name, F.lit("")), F.lit("\x1f"), F.coalesce(number, F.lit("")))
+    return F.nullif(whole, F.lit("\x1f"))
+
+
+def keyed_records(screening: DataFrame) -> DataFrame:
+    """record_sequence and the key of each record."""
+    told = screening.select("record_sequence", "title", "doi", canonical_doi(F.col("title")).alias("in_title"), canonical_doi(F.col("doi")).alias("in_doi"))
+    return told.select("record_sequence", record_key(*(F.col(c) for c in ("title", "doi", "in_title", "in_doi"))).alias("key"))
 
 
 def copies_of_records(screening: DataFrame) -> DataFrame:
     """The smallest sequence of each group of copies with each other one."""
-    runs = adjacent_runs(screening, record_key(F.col("title"), F.col("doi")), F.col("record_sequence"))
+    runs = adjacent_runs(keyed_records(screening), F.col("key"), F.col("record_sequence"))
     return runs.where("first < order_value").select(
         F.col("first").cast("int").alias("first_sequence"), F.col("order_value").cast("int").alias("copy_sequence")
     )
+
+
+def collapsed_records(screening: DataFrame) -> DataFrame:
+    """One row per different record with its number of copies: first_sequence, copies."""
+    groups = collapse(keyed_records(screening), F.col("key"), F.col("record_sequence"))
+    return groups.select(F.col("first").cast("int").alias("first_sequence"), "copies")

@@ -105,6 +105,7 @@ class Wording:
     def __init__(self, levelled: dict[str, str] | None = None, frames: frozenset[str] = frozenset(), pairs: frozenset[tuple[str, str]] = frozenset()):
         self.levelled, self.frames, self.pairs = levelled or {}, FRAME_WORDS | frames, pairs
         self.costs: dict[str, float] = {}
+        self.changes: dict[tuple[str, str], float] = {}
 
     def level(self, words: list[str]) -> list[str]:
         return [self.levelled.get(w, w) for w in words]
@@ -128,6 +129,15 @@ class Wording:
         return 9.0
 
     def replaced(self, x: str, y: str) -> float:
+        """Cost of one word in the place of the other."""
+        cost = self.changes.get((x, y))
+        if cost is None:
+            cost = self._replaced(x, y)
+            if len(self.changes) < 500_000:
+                self.changes[x, y] = cost
+        return cost
+
+    def _replaced(self, x: str, y: str) -> float:
         if (min(x, y), max(x, y)) in self.pairs:
             return 0.25
         d = distance(x, y, 2)
@@ -413,7 +423,7 @@ def buckets_for(rows: int) -> int:
 def publications(rows: DataFrame) -> DataFrame:
     """(seq, batch, publication): publication is the least sequence of all rows of the publication."""
     keyed = rows.withColumn("k", F.xxhash64(F.concat(F.coalesce("key", F.lit("")), F.lit("\x1f"), F.coalesce("doi", F.lit(""))))).drop("key")
-    exact = cut(keyed.where("title is not null or doi is not null"))
+    exact = cut(keyed).where("title is not null or doi is not null")  # pushed below the patterns, it would run them twice
     copies = exact.groupBy("k", "doi").agg(F.min("seq").alias("seq"), F.min("title").alias("title"), F.min("rid").alias("rid"))
     read = cut(titles_read(copies))
     wording = learned_wording(read)
