@@ -35,6 +35,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut, spread
+
+#: Losing paths of all hosts up to which the verdicts are broadcast; beyond, texts of a host are
+#: spread over so many salts and joined.
+MOST_PATHS, SALTS = 1_000_000, 64
+
 #: Element names taken for markup, and those whose content is no prose.
 TAGS = frozenset(
     "a abbr article aside b blockquote body br caption center cite code dd del div dl dt em fig figure font footer h1 h2 h3 h4 h5 h6 head header "
@@ -286,13 +292,13 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def path_votes(texts: DataFrame) -> DataFrame:
-    """(host, path, n, score, wins) over all containers of columns host and text.
+    """(host, path, n, score, wins) over all containers of columns host and text; texts without
+    markup vote on nothing.
 
     Wording that stands alone in several different texts of a host counts for the path once and
     against it in each further text.
     """
-    worth = texts.where(F.col("text").rlike(WORTH)).select("host", "text")
-    votes = worth.mapInArrow(_votes, "host string, path string, wording bigint, whole bigint, n bigint, score double, weight double, prior double")
+    votes = spread(texts.select("host", "text")).mapInArrow(_votes, "host string, path string, wording bigint, whole bigint, n bigint, score double, weight double, prior double")
     by_text = votes.groupBy("host", "path", "wording", "whole").agg(F.sum("n").alias("n"), F.sum("score").alias("score"), F.max("weight").alias("weight"), F.first("prior").alias("prior"))
     told = by_text.groupBy("host", "path", "wording").agg(
         F.sum("n").alias("n"), F.sum("score").alias("all"), F.max("score").alias("once"), F.max("weight").alias("weight"), F.count("*").alias("texts"), F.first("prior").alias("prior")
@@ -382,17 +388,23 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cleaned(texts: DataFrame, keys: list[str]) -> DataFrame:
     """Keys, ``clean`` and ``containers`` of every text that holds markup; columns host and text."""
-    votes = path_votes(texts)
+    # Both passes read the texts that can hold markup, which the pattern is asked once for.
+    worth = cut(texts.where(F.col("text").rlike(WORTH)).select(*keys, "host", "text"))
+    votes = cut(path_votes(worth))
     verdict = votes.groupBy("host").agg(
-        F.collect_set(F.when(~F.col("wins"), F.col("path"))).alias("lost"),
+        F.collect_set(F.when(~F.col("wins"), F.col("path"))).alias("lost"),  # paths of one host
         F.sum(F.when(F.col("path").startswith("wiki>") & ~F.col("path").isin("wiki>ul", "wiki>ol"), F.col("n")).otherwise(0)).alias("wiki"),
         F.sum(F.when(F.col("path").startswith("md>") & ~F.col("path").isin("md>ul", "md>h9"), F.col("n")).otherwise(0)).alias("md"),
     )
     verdict = verdict.select("host", "lost", F.when(F.col("wiki") > 4 * F.col("md"), "wiki").otherwise("md").alias("shared"))
-    worth = texts.where(F.col("text").rlike(WORTH)).select(*keys, "host", "text")
     types = dict(worth.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", clean string, containers int"
-    return worth.join(verdict, "host", "left").mapInArrow(_extracted, schema).where("containers > 0")
+    if votes.count() <= MOST_PATHS:
+        told = worth.join(F.broadcast(verdict), "host", "left")
+    else:
+        salted = verdict.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        told = worth.withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")).join(salted, ["host", "_salt"], "left").drop("_salt")
+    return spread(told).mapInArrow(_extracted, schema).where("containers > 0")
 
 
 def record_texts(screening: DataFrame, host: str = "source") -> DataFrame:
