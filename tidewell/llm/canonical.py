@@ -5,7 +5,8 @@ first, parts abbreviated, written together). A typed value is levelled, its word
 rearing and doubt are taken out, and the trie is walked with a Levenshtein automaton: the states
 are rows of edit distances (swapped neighbours count once), a branch ends where no state stays
 within the bound, so all entries within the bound are found. The bound depends on the length of
-the value. The nearest entry wins; entries of two ids at the same distance leave it unmatched.
+the value. ``all_entries`` reports them all; for a mapping the nearest wins, and
+entries of two ids at the same distance leave a value unmatched.
 
 Values are made distinct before they are looked up. The list is sent to the tasks: it is a
 reference list, and one of more than ``MOST_ENTRIES`` entries is refused rather than broadcast.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.multivalue import NAMES, cells_of, explode_values
+from ..session import spread
 
 MOST_ENTRIES = 100_000
 
@@ -179,6 +181,15 @@ def lookup(trie: Trie, value: str) -> tuple[str | None, int | None]:
     return (names.pop(), least) if len(names) == 1 else (None, None)
 
 
+def within(trie: Trie, value: str) -> list[tuple[str, int]]:
+    """(id, least distance) of all entries within the bound of any reading, ties and all."""
+    least: dict[str, int] = {}
+    for form in readings(value):
+        for d, k in trie.within(form, bound(len(form.replace(" ", "")))):
+            least[k] = min(d, least.get(k, d))
+    return sorted(least.items())
+
+
 def _look(trie: Trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,6 +201,15 @@ def _look(trie: Trie):
     return run
 
 
+def _within(trie: Trie):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(v, k, d) for v in batch.column("value").to_pylist() for k, d in within(trie, v)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32()))], names=["value", "entry", "distance"])
+
+    return run
+
+
 def entries_of(dictionary: DataFrame, key: str, names: list[str]) -> list[tuple[str, str]]:
     """Distinct (id, name) of the reference list; refuses lists beyond MOST_ENTRIES."""
     rows = dictionary.select(F.col(key).alias("k"), F.explode(F.array(*names)).alias("n")).where("k is not null and n is not null").distinct()
@@ -203,13 +223,25 @@ def mapped(values: DataFrame, dictionary: DataFrame, key: str, names: list[str],
     """(value, entry, distance) of each distinct value of ``column``."""
     trie = build_trie(entries_of(dictionary, key, names))
     distinct = values.select(F.col(column).alias("value")).where("value is not null").distinct()
-    return distinct.mapInArrow(_look(trie), "value string, entry string, distance int")
+    return spread(distinct).mapInArrow(_look(trie), "value string, entry string, distance int")
+
+
+def all_entries(values: DataFrame, dictionary: DataFrame, key: str, names: list[str], column: str = "value") -> DataFrame:
+    """(value, entry, distance) of every entry within the bound of each distinct value of ``column``."""
+    trie = build_trie(entries_of(dictionary, key, names))
+    distinct = values.select(F.col(column).alias("value")).where("value is not null").distinct()
+    return spread(distinct).mapInArrow(_within(trie), "value string, entry string, distance int")
+
+
+def typed_species(dashboard: DataFrame) -> DataFrame:
+    """record_id and species_value: the values of the species cells."""
+    cells = cells_of(dashboard, {"record_id": F.col("record_id")}, ["species"])
+    return explode_values(cells, {"species": NAMES}).select("record_id", F.col("item").alias("species_value")).distinct()
 
 
 def mapped_species(dashboard: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Each typed species value that is no entry letter for letter, with its species id or NONE."""
-    cells = cells_of(dashboard, {"record_id": F.col("record_id")}, ["species"])
-    values = explode_values(cells, {"species": NAMES}).select("record_id", F.col("item").alias("species_value")).distinct()
+    values = typed_species(dashboard)
     known = dictionary.select(F.explode(F.array("preferred_name", "synonym")).alias("species_value")).where("species_value is not null").distinct()
     free = values.join(known, "species_value", "left_anti")
     found = mapped(free, dictionary, "species_id", ["preferred_name", "synonym", "scientific_name"], "species_value")
