@@ -49,6 +49,36 @@ def test_hot_surname_beside_a_rarer_given_name(spark):
     assert ("Hansen, Zoltan", "Zoltan Hansen") in got
 
 
+def test_rarity_decides_about_an_initial():
+    names_ = ("hansen", ["erik"]), ("hanson", ["e"])
+    common, rare = names.Rarity({"hansen": 9_000, "hanson": 5_000, "erik": 4_000}, 30_000), names.Rarity({"hansen": 2, "hanson": 1, "erik": 4_000}, 30_000)
+    assert names.compare(*names_, common) < names.NAME_SIMILARITY <= names.compare(*names_, rare)
+    assert names.compare(("mulvaunkem", ["oskar"]), ("mulvaunkem", ["erik"]), rare) == 0.0
+
+
+def test_alike_tokens_against_all_pairs(spark):
+    rng = random.Random(3)
+    words = {"".join(rng.choice("abcde") for _ in range(rng.randrange(3, 13))) for _ in range(150)}
+    for w in sorted(words):
+        for _ in range(3):
+            v = w
+            for _ in range(rng.randrange(1, 3)):
+                i, kind = rng.randrange(max(1, len(v) - 1)), rng.randrange(4)
+                v = v[:i] + v[i + 1 :] if kind == 0 else v[:i] + rng.choice("abcde") + v[i + (kind == 1) :] if kind < 3 else v[:i] + v[i : i + 2][::-1] + v[i + 2 :]
+            words.add(v)
+    got = {(r.token, r.other) for r in names.alike_tokens(spark.createDataFrame([(w, "a") for w in words], "token string, initial string")).collect()}
+    want = {(x, y) for x, y in combinations(sorted(words), 2) if names._same_family(x, y)}
+    assert want - got == set() and len(want) > 300
+
+
+def test_two_letters_missing_and_words_of_bodies(spark):
+    cells = ["Blelplylgrulsen, Margaret", "Blelplylgren, Margaret", "Marine Research Institute, Bergen|MRI, Bergen", *(f"Institute of {a}{b}ology Research, Bergen" for a in ("Bi", "Zo", "Ge", "Hydr") for b in ("a", "e", "i", "u"))]
+    got = {(r.name_a, r.name_b) for r in names.variant_pairs(screening(spark, [(i, None, None, None, None, c, 0, None) for i, c in enumerate(cells)])).collect()}
+    assert ("MRI, Bergen", "Marine Research Institute, Bergen") in got
+    far = names.variant_pairs(screening(spark, [(1, None, None, None, None, "Blelplylgrul, Margaret", 0, None), (2, None, None, None, None, "Blelplylgr, Margaret", 0, None)])).collect()
+    assert [tuple(r) for r in far] == [("Blelplylgr, Margaret", "Blelplylgrul, Margaret")]
+
+
 def test_labels_of_a_long_chain(spark):
     links = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(60)] + [("x", "y")], "a string, b string")
     got = {r.node: r.label for r in least_labels(links).collect()}

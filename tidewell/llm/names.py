@@ -3,11 +3,18 @@
 Spellings are counted, read into a family part, given names and initials (or, for collective
 authors, into the words of a body and its place) and linked where
 
-* their rare part is alike: a prefix-filtered set-similarity join on the q-grams of the token,
-  rarest q-grams first, together with an initial of the given names and the token's length; and
+* their family tokens are alike: a prefix-filtered set-similarity join on the q-grams of the token,
+  rarest q-grams first, the prefix and the overlap that is verified being as long as the edits
+  allowed ask for (tokens of up to ``SHORT`` letters, of which edits may leave no q-gram, meet in
+  their letters less one, and swapped letters in the sorted letters less one); and so are their given names, which meet in their letters less one or
+  two, or at least their initials, where one side has no more; and
 * the whole agrees: a soft weighted token similarity, each token weighted by its rarity among the
-  spellings, in which a token may be misspelt, abbreviated or replaced by a nickname, and in which
-  given names or initials that contradict each other rule the pair out.
+  spellings, in which a token may be misspelt (the less so, the more usual both forms are),
+  abbreviated or replaced by a nickname, and a given name that contradicts another counts against.
+
+No hot key joins all its spellings: a given name that is written out meets its likes and the
+spellings that have initials only. Collective authors meet in one word and the first letters of
+their other words, which an acronym has too.
 
 Spellings with less information (no middle name, initials only) join an author only where exactly
 one fits, so a shared surname or an initial never brings two authors together. A plain given name
@@ -28,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 from .graph import least_labels
 from .history import distance
 
@@ -66,9 +73,19 @@ _BODY = {w: full for full, short in BODIES.items() for w in [full, *short.split(
 _SMALL = frozenset("the of for and in at de la".split())
 _MORE_LETTERS = str.maketrans({"ø": "o", "đ": "d", "ł": "l", "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d"})
 
-#: Least share of common q-grams of two tokens, and least similarity of two whole names.
-TOKEN_SIMILARITY = 0.30
+#: Least similarity of two whole names.
 NAME_SIMILARITY = 0.75
+#: Tokens of so many letters and fewer meet in deletions; q-grams lost by one edit but a swap, at most.
+SHORT = 6
+LOST = 3
+MOST_EDITS = 2
+#: Similarity of tokens one edit apart, two edits apart, of misspelt given names and of an initial;
+#: misspellings lose up to USUAL of it where both forms are frequent.
+ONE_EDIT, TWO_EDITS, MISSPELT, INITIAL, USUAL = 0.85, 0.7, 0.8, 0.6, 0.3
+#: Spellings of other tables that are assumed beside the given ones, so few spellings make no token frequent.
+POPULATION = 10_000
+#: Weight of a letter, which one in 26 shares.
+LETTER = math.log(27.0)
 
 
 def fold(text: str) -> str:
@@ -136,30 +153,32 @@ def _given(tokens: list[str], raw: str) -> list[str]:
 
 
 def _same_given(x: str, y: str, typos: bool) -> float:
-    """1 for the same given name (nickname and misspelling included), 0.6 for an initial, 0 if not."""
+    """1 for the same given name or nickname, less for a misspelling or an initial, -1 for another name."""
     if x == y:
         return 1.0
     cx, cy = _CANONICAL.get(x, frozenset((x,))), _CANONICAL.get(y, frozenset((y,)))
     if len(x) == 1 or len(y) == 1:
         one, other = (x, cy | {y}) if len(x) == 1 else (y, cx | {x})
-        return 0.6 if any(n[0] == one for n in other) else 0.0
+        return INITIAL if any(n[0] == one for n in other) else -1.0
     if cx & cy:
         return 1.0
     if typos and min(len(x), len(y)) >= 3:
         d = distance(x, y, 2)
         if d == 1 or d == 2 and min(len(x), len(y)) >= 7:
-            return 0.9
-    return 0.0
+            return MISSPELT
+    return -1.0
+
+
+def edits(n: int) -> int:
+    """Edits allowed between family tokens, the shorter of n letters."""
+    return 0 if n < 4 else 1 if n < 9 else MOST_EDITS
 
 
 def _same_family(x: str, y: str) -> float:
     if x == y:
         return 1.0
-    n = min(len(x), len(y))
-    if n < 4:
-        return 0.0
-    d = distance(x, y, 2)
-    return 0.9 if d == 1 else 0.8 if d == 2 and n >= 9 else 0.0
+    d, most = distance(x, y, 2), edits(min(len(x), len(y)))
+    return 0.0 if d > most else ONE_EDIT if d == 1 else TWO_EDITS
 
 
 def level(given: list[str]) -> int:
@@ -171,22 +190,40 @@ def level(given: list[str]) -> int:
     return 3 if len(given) > 1 else 2
 
 
-def compare(a: tuple[str, list[str]], b: tuple[str, list[str]], wa: float, wb: float) -> tuple[float, bool]:
-    """Soft weighted similarity of two readings, and whether one tells less than the other."""
+class Rarity:
+    """Weights of the tokens of two spellings by how many spellings have them."""
+
+    def __init__(self, counts: dict[str, int], total: int):
+        self.counts, self.total = counts, total + POPULATION
+        self.most = math.log(1.0 + self.total)
+
+    def __call__(self, token: str) -> float:
+        return math.log(1.0 + self.total / self.counts.get(token, 1))
+
+
+def compare(a: tuple[str, list[str]], b: tuple[str, list[str]], rarity: Rarity) -> float:
+    """Soft weighted similarity of two readings.
+
+    The weight of a pair of tokens is that of its more usual form; where they differ, the rarer
+    form's weight tells how likely it is a slip rather than a name of its own.
+    """
     family = _same_family(a[0], b[0])
     if not family or not a[1] or not b[1]:
-        return 0.0, False
-    first = _same_given(a[1][0], b[1][0], family == 1.0 or family >= 0.9 and min(len(a[0]), len(b[0])) >= 8)
-    if family < 1.0 and first == 0.9 and (min(len(a[1][0]), len(b[1][0])) < 5 or distance(a[1][0], b[1][0], 1) > 1):
-        first = 0.0
-    if not first or family < 0.85 and first < 1.0:
-        return 0.0, False
-    extra = list(zip(a[1][1:], b[1][1:]))
-    if any(not _same_given(x[0], y[0], False) for x, y in extra):
-        return 0.0, False
-    weight = max(wa, wb)
-    score = (weight * family + first) / (weight + 1.0)
-    return score, level(a[1]) != level(b[1])
+        return 0.0
+    typos = family == 1.0 or family == ONE_EDIT and min(len(a[0]), len(b[0])) >= 8
+    if family == ONE_EDIT and (min(len(a[1][0]), len(b[1][0])) < 5 or distance(a[1][0], b[1][0], 1) > 1):
+        typos = False  # two slips in one name need long tokens
+
+    def pair(x: str, y: str, same: float) -> tuple[float, float]:
+        if len(x) == 1 or len(y) == 1:
+            return LETTER, same
+        wx, wy = rarity(x), rarity(y)
+        return min(wx, wy), same - (USUAL * (1.0 - max(wx, wy) / rarity.most) if 0.0 < same < 1.0 else 0.0)
+
+    parts = [pair(a[0], b[0], family)] + [pair(x, y, _same_given(x, y, typos and not i)) for i, (x, y) in enumerate(zip(a[1], b[1]))]
+    if min(s for _, s in parts) < 0 and all(s <= 0 for _, s in parts[1:2]):
+        return 0.0  # another first given name
+    return sum(w * s for w, s in parts) / sum(w for w, _ in parts)
 
 
 def _body_words(name: str) -> tuple[list[str], list[str]]:
@@ -224,34 +261,39 @@ def same_body(a: str, b: str) -> float:
     return 1.0 if typos <= 1 else 0.8 if typos == 2 else 0.0
 
 
-def q_grams(token: str) -> list[str]:
-    padded = f"^{token}$"
-    return sorted({padded[i : i + 3] for i in range(len(padded) - 2)})
+def body_keys(name: str) -> set[tuple[str, str]]:
+    """(word, first letters of the other words or of the acronym) of a collective author."""
+    words, acronyms = _body_words(name)
+    rest = lambda i: "".join(sorted([w[0] for j, w in enumerate(words) if j != i] + [c for a in acronyms for c in a]))
+    return {(w, "*" + rest(i)) for i, w in enumerate(words) if len(w) >= 3}
+
+
+def deletions(word: str, most: int) -> list[str]:
+    """The word without up to ``most`` of its letters."""
+    out = {word}
+    for _ in range(most):
+        out |= {w[:i] + w[i + 1 :] for w in out for i in range(len(w))}
+    return sorted(out)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (name, token, initial, len) by which a spelling can be found, one per reading and initial."""
+    """Rows (name, token, initial, given, keys) by which a spelling can be found, one per reading and
+    initial; keys are the deletions of a given name that is written out."""
     for batch in batches:
-        names, anchors, initials, given_names = [], [], [], []
-        for name, tokens, counts in zip(*(batch.column(c).to_pylist() for c in ("name", "tokens", "counts"))):
-            rare = dict(zip(tokens, counts))
+        out: tuple[list, ...] = ([], [], [], [], [])
+        for name in batch.column("name").to_pylist():
             rows: set[tuple[str, str, str]] = set()
             if is_body(name):
-                words, _ = _body_words(name)
-                places = [w for w in words if w not in BODIES and len(w) >= 5] or words
-                least = min((rare.get(w, 1) for w in places), default=1)
-                rows |= {(w, "*", "") for w in places if rare.get(w, 1) <= max(12, 4 * least)}
+                rows |= {(word, letters, "") for word, letters in body_keys(name)}
             else:
                 for family, given in readings(name):
                     for full in _CANONICAL.get(given[0], frozenset((given[0],))) | {given[0]} if given else ():
                         told = full if len(full) > 2 else ""
                         rows |= {(family, full[0], told)} | ({(family, full[1], told)} if told else set())
             for token, initial, told in sorted(rows):
-                names.append(name)
-                anchors.append(token)
-                initials.append(initial)
-                given_names.append(told)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, anchors, initials, given_names)], names=["name", "token", "initial", "given"])
+                for column, value in zip(out, (name, token, initial, told, deletions(told, 2 if len(told) >= 7 else 1) if told else [])):
+                    column.append(value)
+        yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in out[:4]), pa.array(out[4], pa.list_(pa.string()))], names=["name", "token", "initial", "given", "keys"])
 
 
 def _judge(total: int):
@@ -264,13 +306,13 @@ def _judge(total: int):
                 if is_body(a) or is_body(b):
                     score, la, lb = (same_body(a, b) if is_body(a) and is_body(b) else 0.0), 9, 9
                 else:
-                    score, la, lb = 0.0, 0, 0
+                    score, la, lb, rarity = 0.0, 0, 0, Rarity(ra | rb, total)
+                    theirs = readings(b)
                     for x in readings(a):
-                        wx = math.log(1 + total / ra.get(x[0], 1))
-                        for y in readings(b):
+                        for y in theirs:
                             if unread(x, y, ra) or unread(y, x, rb):
                                 continue
-                            s, _ = compare(x, y, wx, math.log(1 + total / rb.get(y[0], 1)))
+                            s = compare(x, y, rarity)
                             if s > score:
                                 score, la, lb = s, level(x[1]), level(y[1])
                 if score >= NAME_SIMILARITY:
@@ -303,37 +345,68 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("name"), tokens], names=["name", "tokens"])
 
 
+def q_grams(token: str) -> list[str]:
+    padded = f"^{token}$"
+    return sorted({padded[i : i + 3] for i in range(len(padded) - 2)})
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """q-grams of longer tokens; deletions of short ones and, behind "#", of the sorted letters."""
+    for batch in batches:
+        grams, keys = [], []
+        for token in batch.column("token").to_pylist():
+            n = len(token)
+            grams.append(q_grams(token) if n >= SHORT else [])
+            bag = ["#" + w for w in deletions("".join(sorted(token)), 1)] if n >= 4 else []
+            keys.append((deletions(token, 1) if 3 <= n <= SHORT else []) + bag)
+        kind = pa.list_(pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("token"), batch.column("initial"), pa.array(grams, kind), pa.array(keys, kind)], names=["token", "initial", "grams", "keys"])
+
+
+def _allowed(length: Column) -> Column:
+    """``edits`` as a column."""
+    return F.when(length < 4, 0).when(length < 9, 1).otherwise(MOST_EDITS)
+
+
+def alike_tokens(tokens: DataFrame) -> DataFrame:
+    """(token, other, initial), token < other: the prefix-filtered set-similarity join, the deletions
+    of short tokens, and for swaps the sorted letters of all.
+
+    Two edits without a swap lose no more q-grams than the prefix allows for; with a swap among
+    them, the sorted letters differ by one replaced, added or missing letter at most.
+    """
+    length = F.length("token")
+    keyed = cut(spread(tokens.select("token", "initial")).mapInArrow(_keyed, "token string, initial string, grams array<string>, keys array<string>"))
+    each = keyed.select("token", "initial", F.explode("grams").alias("g"))
+    often = each.groupBy("g").agg(F.count("*").alias("df"))
+    ordered = each.join(often, "g").groupBy("token", "initial").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("order"))  # the grams of one token
+    # Edits lose LOST q-grams each, so tokens within them share one of the LOST * edits + 1 rarest.
+    prefix = F.slice("order", F.lit(1), _allowed(length) * LOST + 1)
+    first = ordered.select("token", "initial", length.alias("len"), F.transform("order", lambda s: s["g"]).alias("mine"), F.explode(F.transform(prefix, lambda s: s["g"])).alias("g"))
+    band = F.sequence(F.col("len") - _allowed(F.col("len")), F.col("len") + _allowed(F.col("len")))
+    second = first.select("g", "initial", F.col("token").alias("other"), F.col("mine").alias("its"), F.explode(band).alias("len"))
+    met = first.join(second, ["g", "initial", "len"]).where("token < other").where(F.levenshtein("token", "other", 2 * MOST_EDITS) >= 0)
+    shorter = _allowed(F.least(length, F.length("other")))
+    long = met.where(F.size(F.array_intersect("mine", "its")) >= F.greatest(F.size("mine"), F.size("its")) - LOST * shorter)
+    side = keyed.select("token", "initial", F.explode("keys").alias("g"))
+    rest = side.join(side.select("g", "initial", F.col("token").alias("other")), ["g", "initial"]).where("token < other")
+    found = long.select("token", "other", "initial").union(rest.select("token", "other", "initial"))
+    return found.where(F.levenshtein("token", "other", 2 * MOST_EDITS) >= 0).distinct().where(F.levenshtein("token", "other") <= 2 * shorter)
+
+
 def candidates(named: DataFrame) -> DataFrame:
-    """Pairs (a, b) of spellings with alike rare tokens: the prefix-filtered set-similarity join."""
-    anchors = cut(named.mapInArrow(_read, "name string, token string, initial string, given string"))
-    grams = anchors.select("token", "initial").distinct()
-    padded = F.concat(F.lit("^"), F.col("token"), F.lit("$"))
-    split = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.substring(padded, i, F.lit(3))))
-    grams = cut(grams.withColumn("grams", split))
-    often = grams.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("df"))
-    ordered = (
-        grams.select("token", "initial", F.size("grams").alias("n"), F.explode("grams").alias("g"))
-        .join(often, "g")
-        .groupBy("token", "initial", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("order"))
-    )
-    # Of n grams, any token alike enough shares one of the n - ceil(t n) + 1 rarest.
-    prefix = F.slice("order", F.lit(1), (F.col("n") - F.ceil(F.lit(TOKEN_SIMILARITY) * F.col("n")) + 1).cast("int"))
-    keyed = ordered.select("token", "initial", F.length("token").alias("len"), F.explode(F.transform(prefix, lambda s: s["g"])).alias("g"))
-    right = keyed.select("g", "initial", F.col("token").alias("other"), F.explode(F.array(F.col("len") - 1, F.col("len"), F.col("len") + 1)).alias("len"))
-    alike = (
-        keyed.join(right, ["g", "initial", "len"])
-        .where("token < other")
-        .where(F.levenshtein("token", "other", 2) >= 0)
-        .select("token", "other", "initial")
-        .distinct()
-    )
-    near = alike.union(anchors.select("token", F.col("token").alias("other"), "initial").distinct())
-    x = anchors.select("token", "initial", F.col("given").alias("gx"), F.col("name").alias("x"))
-    y = anchors.select(F.col("token").alias("other"), "initial", F.col("given").alias("gy"), F.col("name").alias("y"))
-    pairs = near.join(x, ["token", "initial"]).join(y, ["other", "initial"]).where("x <> y")
-    # Given names written out on both sides are at most two edits apart (four, where letters are swapped).
-    pairs = pairs.where((F.col("gx") == "") | (F.col("gy") == "") | (F.levenshtein("gx", "gy", 4) >= 0))
+    """Pairs (a, b) of spellings whose family tokens are alike and whose given names may be."""
+    anchors = cut(spread(named.select("name")).mapInArrow(_read, "name string, token string, initial string, given string, keys array<string>"))
+    tokens = cut(anchors.select("token", "initial").distinct())
+    near = alike_tokens(tokens)
+    near = cut(near.union(near.select("other", "token", "initial")).union(tokens.select("token", F.col("token").alias("other"), "initial")))
+    x = anchors.select("token", "initial", F.col("given").alias("gx"), F.col("name").alias("x"), F.col("keys").alias("kx"))
+    y = anchors.select(F.col("token").alias("other"), "initial", F.col("given").alias("gy"), F.col("name").alias("y"), F.col("keys").alias("ky"))
+    # Initials alone meet everything with that initial, names that are written out only their likes.
+    bare = x.where("gx = ''").join(near, ["token", "initial"]).join(y, ["other", "initial"]).select("x", "y")
+    told = x.where("gx <> ''").join(near, ["token", "initial"]).select("other", "initial", "x", F.explode("kx").alias("key"))
+    full = told.join(y.where("gy <> ''").select("other", "initial", "y", F.explode("ky").alias("key")), ["other", "initial", "key"]).select("x", "y")
+    pairs = bare.union(full).where("x <> y")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -348,7 +421,7 @@ def linked_names(authors: DataFrame, column: str = "authors") -> DataFrame:
     pairs = candidates(named)
     a = named.select(F.col("name").alias("a"), F.col("tokens").alias("ta"), F.col("counts").alias("ca"))
     b = named.select(F.col("name").alias("b"), F.col("tokens").alias("tb"), F.col("counts").alias("cb"))
-    judged = cut(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "ca", "tb", "cb").mapInArrow(_judge(total), "a string, b string, la int, lb int"))
+    judged = cut(spread(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "ca", "tb", "cb")).mapInArrow(_judge(total), "a string, b string, la int, lb int"))
     labels = least_labels(judged.where("la = lb").select("a", "b"))
     ends = judged.select(F.col("a").alias("name"), F.col("la").alias("l")).union(judged.select("b", "lb"))
     known = cut(ends.distinct().join(labels.withColumnRenamed("node", "name"), "name", "left").select("name", "l", F.coalesce("label", "name").alias("label")))

@@ -21,6 +21,10 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_duplicates.copies_of_records(_table(spark, sf_dir, "relevance_screening"))
 
 
+def p2_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_duplicates.collapsed_records(_table(spark, sf_dir, "relevance_screening"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivorship.surviving_members(_table(spark, sf_dir, "merge_master_update"))
 
@@ -41,6 +45,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.mapped_species(_table(spark, sf_dir, "build_dashboard"), _table(spark, sf_dir, "species_dictionary"))
 
 
+def p7_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = canonical.typed_species(_table(spark, sf_dir, "build_dashboard"))
+    return canonical.all_entries(values, _table(spark, sf_dir, "species_dictionary"), "species_id", ["preferred_name", "synonym", "scientific_name"], "species_value")
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -64,11 +73,13 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
+    "p2_copies": p2_copies,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p6_found": p6_found,
     "p6_cleaned": p6_cleaned,
     "p7_found": p7_found,
+    "p7_entries": p7_entries,
     "p8_found": p8_found,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
