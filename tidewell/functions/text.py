@@ -36,8 +36,8 @@ def clean_html(text: Column) -> Column:
 
 
 def to_ascii(text: Column) -> Column:
-    """Lower case with accents taken off."""
-    plain = F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower case with accents taken off, those written as marks of their own too."""
+    plain = F.translate(F.regexp_replace(F.lower(text), r"\p{Mn}+", ""), ACCENTED, PLAIN)
     for letter, two in DOUBLED.items():
         plain = F.replace(plain, F.lit(letter), F.lit(two))
     return plain
@@ -170,7 +170,7 @@ def publication_line(journal: Column, volume: Column, pages: Column) -> Column:
 
 def number(text: Column) -> Column:
     """Whole part of a number, NULL if the text is none."""
-    return F.expr("try_cast(try_cast({0} as double) as int)".format("x")) if text is None else text.try_cast("double").try_cast("int")
+    return text.try_cast("double").try_cast("int")
 
 
 def shorten_terms(text: Column, n: int = 10) -> Column:

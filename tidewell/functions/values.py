@@ -62,11 +62,25 @@ def canonical_species(name: Column) -> Column:
     low = F.lower(squish(F.coalesce(name, F.lit(""))))
     return (
         F.when(low.isin(*BAD_TOPIC) | (low.contains("unspecified") & low.rlike("salmon|salmonid|species")), "Unspecified species")
-        .when(low.isin("rainbow salmon", "rainbow_trout", "rainbow trout", "steelhead", "steelhead trout"), "Rainbow trout")
+        .when(low.isin("rainbow salmon", "rainbow_trout", "rainbow trout"), "Rainbow trout")
         .otherwise(squish(name))
     )
 
 
+#: The names that figures show, and the spellings counted with one of them.
+SHOWN_SPECIES = ("Atlantic salmon", "Chinook salmon", "Chum salmon", "Coho salmon", "Masu salmon", "Pink salmon", "Rainbow trout", "Sockeye salmon", "Unspecified species")
+COUNTED_AS = {"steelhead": "Rainbow trout", "steelhead trout": "Rainbow trout", "rainbow salmon": "Rainbow trout", "farmed salmon": "Unspecified species"}
+
+
+def figure_species(name: Column) -> Column:
+    """Name of a species in figures: spellings counted with a shown name, unspecified ones together;
+    other names stay, for ``unshown_species`` to report."""
+    bare = squish(F.coalesce(name, F.lit("")))
+    low = F.lower(bare)
+    counted = F.create_map(*[F.lit(x) for pair in (COUNTED_AS | {s.lower(): s for s in SHOWN_SPECIES}).items() for x in pair])
+    return F.when((low == "") | low.startswith("unspecified"), "Unspecified species").otherwise(F.coalesce(F.element_at(counted, low), bare))
+
+
 def joined_distinct(values: Column) -> Column:
     """Sorted distinct non-empty values of a group joined by "; ", NULL when there are none."""
     return F.nullif(F.array_join(F.array_sort(F.collect_set(F.nullif(values, F.lit("")))), "; "), F.lit(""))

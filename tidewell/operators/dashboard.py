@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as t
 from ..functions import values as v
 
 #: Territories counted with a country, and the code that names none.
@@ -130,10 +131,8 @@ def level_pairs(view: DataFrame) -> DataFrame:
     return unique_records(rows, F.col("root"), F.col("parent"), F.col("child"))
 
 
-def search(
-    view: DataFrame, species: str = "", country: str = "", topic: str = "", text: str = "", order: str = "title", ascending: bool = True, page: int = 1, size: int = 50
-) -> DataFrame:
-    """One page of the records that meet all filters; blank titles sort last whatever the order."""
+def matches(view: DataFrame, species: str = "", country: str = "", topic: str = "", text: str = "") -> DataFrame:
+    """The records that meet all filters."""
     rows = view
     if species:
         rows = rows.where(F.array_contains("species", species))
@@ -145,8 +144,28 @@ def search(
     if text:
         everything = F.concat_ws(" ", "title", "abstract", F.col("year").cast("string"), F.array_join("species", " "), F.array_join("iso3", " "))
         rows = rows.where(F.contains(F.lower(everything), F.lit(text.lower())))
-    blank = F.coalesce(F.trim("title"), F.lit("")) == ""
-    key = F.lower("title") if order == "title" else F.col(order)
+    return rows
+
+
+def natural_key(text: Column) -> Column:
+    """Sort key that knows no case and no accents and takes runs of digits for numbers."""
+    return F.regexp_replace(F.regexp_replace(t.to_ascii(text), r"(\d+)", "000000000000$1"), r"0*(\d{12})(?!\d)", "$1")
+
+
+def page_of(found: int, page: int, size: int) -> tuple[int, int, int, int]:
+    """(page within bounds, pages, first and last row shown); nothing found shows 0 to 0 of one page."""
+    pages = max(1, -(-found // size))
+    page = min(max(page, 1), pages)
+    return page, pages, (page - 1) * size + 1 if found else 0, min(page * size, found)
+
+
+def search(
+    view: DataFrame, species: str = "", country: str = "", topic: str = "", text: str = "", order: str = "title", ascending: bool = True, page: int = 1, size: int = 50
+) -> DataFrame:
+    """One page of the records that meet all filters; blank and untitled ones sort last whatever the order."""
+    rows = matches(view, species, country, topic, text)
+    blank = F.lower(F.coalesce(F.trim("title"), F.lit(""))).isin("", "untitled")
+    key = natural_key(F.col(order)) if dict(view.dtypes)[order] == "string" else F.col(order)
     ordered = rows.orderBy(blank, key.asc_nulls_last() if ascending else key.desc_nulls_last(), "record_id")
     return ordered.offset((max(page, 1) - 1) * size).limit(size)
 

@@ -42,50 +42,59 @@ class Matcher:
 
 def resolve(hits: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     """In the order of start, longer first, key: each hit still there drops the others it overlaps
-    that are no longer than itself."""
+    that are no longer than itself. Only neighbours by position are looked at."""
     order = sorted(set(hits), key=lambda h: (h[0], -(h[1] - h[0]), h[2]))
+    longest = max((h[1] - h[0] for h in order), default=0)
     gone = [False] * len(order)
     for i, a in enumerate(order):
         if gone[i]:
             continue
-        for j, b in enumerate(order):
-            if j != i and not gone[j] and b[0] <= a[1] and a[0] <= b[1] and b[1] - b[0] <= a[1] - a[0]:
-                gone[j] = True
+        j = i + 1
+        while j < len(order) and order[j][0] <= a[1]:
+            gone[j] = gone[j] or order[j][1] - order[j][0] <= a[1] - a[0]
+            j += 1
+        j = i - 1
+        while j >= 0 and order[j][0] >= a[0] - longest:
+            gone[j] = gone[j] or order[j][1] >= a[0] and order[j][1] - order[j][0] <= a[1] - a[0]
+            j -= 1
     return [h for h, g in zip(order, gone) if not g]
 
 
-def _mentions(matcher: Matcher, sources: list[str]):
+def _mentions(matcher: Matcher, sources: list[str], around: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
             ids = batch.column("id").to_pylist()
             for source in sources:
                 for i, text in zip(ids, batch.column(source).to_pylist()):
                     for start, end, key, _ in resolve(matcher.find(text)) if text else ():
-                        for column, value in zip(out, (i, source, key, text[start - 1 : end], start, end)):
+                        context = re.sub(r"[ \t\n\r\f]+", " ", text[max(0, start - 1 - around) : end + around]).strip(" ")
+                        for column, value in zip(out, (i, source, key, text[start - 1 : end], start, end, context)):
                             column.append(value)
-            types = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["id", "source", "key", "matched_text", "match_start", "match_end"])
+            types = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["id", "source", "key", "matched_text", "match_start", "match_end", "context"])
 
     return run
 
 
-def find_mentions(texts: DataFrame, terms: DataFrame, sources: list[str]) -> DataFrame:
-    """id, source, key, matched_text, match_start, match_end; ``texts`` has id and the sources,
-    ``terms`` has term and key."""
+def find_mentions(texts: DataFrame, terms: DataFrame, sources: list[str], around: int = 100) -> DataFrame:
+    """id, source, key, matched_text, match_start, match_end, context (up to ``around`` characters on
+    each side, squished); ``texts`` has id and the sources, ``terms`` has term and key."""
     rows = terms.where("term is not null and trim(term) <> ''").select("term", "key").distinct().limit(MOST_TERMS + 1).collect()
     if len(rows) > MOST_TERMS:
         raise ValueError(f"the dictionary has more than {MOST_TERMS} terms")
     matcher = Matcher([(r.term, r.key) for r in rows])
-    schema = "id bigint, source string, key string, matched_text string, match_start int, match_end int"
-    return texts.select(F.col("id").cast("bigint").alias("id"), *sources).mapInArrow(_mentions(matcher, sources), schema)
+    schema = "id bigint, source string, key string, matched_text string, match_start int, match_end int, context string"
+    return texts.select(F.col("id").cast("bigint").alias("id"), *sources).mapInArrow(_mentions(matcher, sources, around), schema)
 
 
 def species_mentions(records: DataFrame, dictionary: DataFrame, key: str = "record_sequence") -> DataFrame:
     """Mentions of the dictionary's synonyms with the species they name."""
     texts = records.select(F.col(key).alias("id"), "title", "abstract")
-    hits = find_mentions(texts, dictionary.select(F.col("synonym").alias("term"), F.col("species_id").alias("key")), ["title", "abstract"])
-    species = dictionary.groupBy(F.col("species_id").alias("key")).agg(F.min("preferred_name").alias("preferred_name"), F.max("is_farmed_candidate").alias("is_farmed_candidate"), F.min("default_group").alias("default_group"))
+    hits = find_mentions(texts, dictionary.select(F.col("synonym").alias("term"), F.col("species_id").alias("key")), ["title", "abstract"]).drop("context")
+    species = dictionary.groupBy(F.col("species_id").alias("key")).agg(
+        F.min("preferred_name").alias("preferred_name"), F.min("scientific_name").alias("scientific_name"), F.max("is_farmed_candidate").alias("is_farmed_candidate"), F.min("default_group").alias("default_group")
+    )
     return hits.join(species, "key").withColumnRenamed("key", "species_id")
 
 
@@ -95,12 +104,26 @@ FARMING = ("salmon farm", "salmon farms", "farmed salmon", "salmon aquaculture",
 REACH = 120
 
 
-def filter_generic(mentions: DataFrame, generic: Column) -> DataFrame:
-    """mention_eligible: FALSE for a generic mention, farming phrases apart, whose middle lies
-    within REACH of a mention of a non-candidate species in the same text."""
+#: How a generic mention is known, the genus whose non-candidates rule it out, and the reason given.
+GENERIC_NAME, GENERIC_ID = "unspecified farmed salmon", "unspecified.*salmon|generic.*salmon"
+GENUS = "Salmo"
+NEAR_NON_TARGET = "Generic salmon mention located near a named non-target Salmo species"
+#: The id that gives way to specific species, and the one that is not specific enough for that.
+UNSPECIFIED, WEAK = "UNSPEC_SALMON", ("ONC_MYKISS",)
+
+
+def is_generic(name: Column, species_id: Column) -> Column:
+    return (F.lower(F.coalesce(name, F.lit(""))) == GENERIC_NAME) | F.lower(F.coalesce(species_id, F.lit(""))).rlike(GENERIC_ID)
+
+
+def filter_generic(mentions: DataFrame, generic: Column | None = None, genus: str = GENUS) -> DataFrame:
+    """mention_eligible and filter_reason: FALSE for a generic mention, farming phrases apart, whose
+    middle lies within REACH of a mention of a non-candidate species of the genus in the same text."""
     middle = (F.col("match_start") + F.col("match_end")) / 2
+    generic = is_generic(F.col("preferred_name"), F.col("species_id")) if generic is None else generic
     marked = mentions.withColumn("mid", middle).withColumn("generic", generic & ~F.lower("matched_text").isin(*FARMING))
-    others = marked.where("not is_farmed_candidate").select(F.col("id").alias("oid"), F.col("source").alias("os"), F.col("mid").alias("om")).distinct()
+    other = F.coalesce("scientific_name", F.lit("")).rlike(rf"(?i)^{genus}\s+[A-Za-z-]+$") & ~F.coalesce("is_farmed_candidate", F.lit(False))
+    others = marked.where(other).select(F.col("id").alias("oid"), F.col("source").alias("os"), F.col("mid").alias("om")).distinct()
     cell = lambda c: F.floor(c / REACH)
     near = (
         marked.where("generic")
@@ -111,26 +134,27 @@ def filter_generic(mentions: DataFrame, generic: Column) -> DataFrame:
         .distinct()
         .withColumn("hit", F.lit(True))
     )
-    return marked.join(near, ["id", "source", "match_start", "match_end", "species_id"], "left").withColumn("mention_eligible", F.col("hit").isNull()).drop("hit", "mid", "generic")
+    joined = marked.join(near, ["id", "source", "match_start", "match_end", "species_id"], "left")
+    return joined.withColumns({"mention_eligible": F.col("hit").isNull(), "filter_reason": F.when(F.col("hit"), NEAR_NON_TARGET)}).drop("hit", "mid", "generic")
 
 
-def assign_species(mentions: DataFrame, ids: DataFrame, generic_id: str | None = None) -> DataFrame:
+def assign_species(mentions: DataFrame, ids: DataFrame, generic_id: str | None = UNSPECIFIED, weak: tuple[str, ...] = WEAK) -> DataFrame:
     """One row per farmed species of a record, or one unresolved row: role, reason, other species.
 
     ``mentions`` has id, species_id, preferred_name, is_farmed_candidate and mention_eligible;
-    ``generic_id`` gives way to any specific species.
+    ``generic_id`` gives way to any specific species but the ``weak`` ones.
     """
     unique = mentions.where("mention_eligible").select("id", "species_id", "preferred_name", "is_farmed_candidate").distinct()
     farmed = unique.where("is_farmed_candidate")
     if generic_id:
-        specific = F.max((F.col("species_id") != generic_id).cast("int")).over(Window.partitionBy("id"))
-        farmed = farmed.withColumn("s", specific).where((F.col("species_id") != generic_id) | (F.col("s") == 0)).drop("s")
+        specific = farmed.where(~F.col("species_id").isin(generic_id, *weak)).select("id").distinct().withColumn("s", F.lit(True))
+        farmed = farmed.join(specific, "id", "left").where((F.col("species_id") != generic_id) | F.col("s").isNull()).drop("s")
     others = unique.where("not is_farmed_candidate").groupBy("id").agg(v.joined_distinct(F.col("preferred_name")).alias("non_target_species"))
     count = farmed.groupBy("id").agg(F.count("*").alias("n"))
     named = farmed.join(count, "id").select(
         "id", F.col("species_id").alias("farmed_species_id"), F.col("preferred_name").alias("farmed_species"),
         F.when(F.col("n") == 1, "primary").otherwise("co-primary").alias("assignment_role"), F.lit(False).alias("review_required"),
-        F.when(F.col("n") == 1, "Single eligible farmed species").otherwise(F.concat(F.col("n").cast("string"), F.lit(" eligible farmed species"))).alias("assignment_reason"),
+        F.when(F.col("n") == 1, "One eligible farmed species detected").otherwise(F.concat(F.col("n").cast("string"), F.lit(" eligible farmed species detected; none treated as primary"))).alias("assignment_reason"),
     )
     open_ = ids.select("id").join(count, "id", "left_anti").join(others.select("id", F.lit(True).alias("other")), "id", "left").select(
         "id", F.lit(None).cast("string").alias("farmed_species_id"), F.lit(None).cast("string").alias("farmed_species"), F.lit("unresolved").alias("assignment_role"),
@@ -139,6 +163,22 @@ def assign_species(mentions: DataFrame, ids: DataFrame, generic_id: str | None =
     return named.unionByName(open_).join(others, "id", "left")
 
 
+def annotate_species(records: DataFrame, dictionary: DataFrame, key: str = "record_sequence") -> dict[str, DataFrame]:
+    """mentions, assignments and failures of all records: search, filter and assignment together.
+
+    Records that cannot be read (no key, or a key that recurs) are failures, with the reason; the
+    others are annotated.
+    """
+    text = F.col(key).cast("string")
+    seen = records.groupBy(text.alias("k")).agg(F.count("*").alias("n"))
+    told = records.withColumn("k", text).join(seen, "k", "left")
+    error = F.when(F.col(key).isNull(), "the record has no key").when(F.col("n") > 1, "the key is not unique")
+    failures = told.withColumn("error", error).where("error is not null").select(key, "title", "error")
+    good = told.where(error.isNull()).drop("k", "n")
+    mentions = filter_generic(species_mentions(good, dictionary, key))
+    return {"mentions": mentions, "assignments": assign_species(mentions, good.select(F.col(key).cast("bigint").alias("id"))), "failures": failures}
+
+
 #: Context that makes a place an artefact, and phrases that rank a mention. All of
 #: them count anywhere in the context, inside words too.
 ARTEFACTS = (
@@ -226,11 +266,11 @@ def country_summary(assignments: DataFrame, review: DataFrame) -> DataFrame:
 
 
 def place_mentions(records: DataFrame, gazetteer: DataFrame, key: str = "record_sequence", around: int = 100) -> DataFrame:
-    """Mentions of places, each with every gazetteer row of its name and its context."""
+    """Mentions of places with their context. Of several places of one name the first counts, by
+    matched_place, then the gazetteer's ``position`` where it has one, then the other columns."""
     texts = records.select(F.col(key).alias("id"), "title", "abstract")
-    hits = find_mentions(texts, gazetteer.select(F.col("matched_place").alias("term"), F.lower("matched_place").alias("key")), ["title", "abstract"])
-    rows = gazetteer.withColumn("key", F.lower("matched_place")).dropDuplicates()
-    found = hits.join(rows, "key").join(texts.select(F.col("id").cast("bigint").alias("id"), "title", "abstract"), "id")
-    text = F.when(F.col("source") == "title", F.col("title")).otherwise(F.col("abstract"))
-    context = F.trim(F.regexp_replace(F.substring(text, F.greatest(F.lit(1), F.col("match_start") - around), F.col("match_end") - F.col("match_start") + 1 + 2 * around), r"\s+", " "))
-    return found.select("id", "source", "matched_text", "matched_place", "country_name", "iso3c", "region_name", "match_start", "match_end", context.alias("context"))
+    hits = find_mentions(texts, gazetteer.select(F.col("matched_place").alias("term"), F.lower("matched_place").alias("key")), ["title", "abstract"], around)
+    place = F.struct("matched_place", "country_name", "iso3c", "region_name")
+    order = F.struct("matched_place", *(["position"] if "position" in gazetteer.columns else []), *[F.coalesce(c, F.lit("\uffff")) for c in ("iso3c", "country_name", "region_name")])
+    rows = gazetteer.groupBy(F.lower("matched_place").alias("key")).agg(F.min_by(place, order).alias("p"))
+    return hits.join(rows, "key").select("id", "source", "matched_text", "p.*", "match_start", "match_end", "context")

@@ -15,19 +15,22 @@ STOPWORDS = (
 ).split()
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case words (letters and digits) without stopwords, and their bigrams joined by "_"."""
+def words(text: Column) -> Column:
+    """Lower-case words (letters and digits of any script) without stopwords."""
     bare = F.regexp_replace(F.lower(text), r"https?://\S+", " ")
-    words = F.filter(F.split(bare, "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(STOPWORDS))
-    # zip_with, not an index into the words: an outer expression inside a lambda runs once per element
-    after = F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1)))
-    pairs = F.zip_with(words, after, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit("_"), b)))
-    return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
+    return F.filter(F.split(bare, r"[^\p{L}\p{N}]+"), lambda w: (w != "") & ~w.isin(STOPWORDS))
+
+
+def term_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term): the words and, joined by "_", the neighbouring ones; the words are made once."""
+    made = texts.select(key, words(F.col(text)).alias("_w"))
+    pairs = made.select(key, F.explode(F.arrays_zip(F.col("_w").alias("a"), F.slice("_w", F.lit(2), F.greatest(F.size("_w"), F.lit(1))).alias("b"))).alias("p"))
+    return pairs.select(key, F.explode(F.array("p.a", F.concat("p.a", F.lit("_"), "p.b"))).alias("term")).where("term is not null")
 
 
 def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf); counts are merged before the shuffle."""
-    return texts.select(key, F.explode(tokens(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    return term_rows(texts, key, text).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def idf(counts: DataFrame, documents: int, least: int = 3, most: float = 0.98) -> DataFrame:
@@ -36,14 +39,9 @@ def idf(counts: DataFrame, documents: int, least: int = 3, most: float = 0.98) -
     return df.select("term", "df", F.log10(F.lit(float(documents)) / F.col("df")).alias("idf"))
 
 
-def tf_idf(texts: DataFrame, key: str, text: str, least: int = 3, most: float = 0.98) -> DataFrame:
-    counts = term_counts(texts, key, text)
-    return counts.join(idf(counts, texts.count(), least, most), "term").select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
-
-
 def score(texts: DataFrame, model: DataFrame, intercept: float, key: str, text: str) -> DataFrame:
     """(key, probability): sigmoid of intercept + sum(tf idf coef); a text without a term gets sigmoid(intercept)."""
-    met = term_counts(texts, key, text).join(model, "term").groupBy(key).agg(F.sum(F.col("tf") * F.col("idf") * F.col("coef")).alias("z"))
+    met = term_rows(texts, key, text).join(model, "term").groupBy(key).agg(F.sum(F.col("idf") * F.col("coef")).alias("z"))  # terms of the model only
     z = F.lit(intercept) + F.coalesce("z", F.lit(0.0))
     return texts.select(key).join(met, key, "left").select(key, (1 / (1 + F.exp(-z))).alias("probability"))
 
@@ -64,32 +62,48 @@ def metrics(rows: DataFrame, truth: str, probability: str, threshold: float) ->
 
 
 def sweep(rows: DataFrame, truth: str, probability: str) -> DataFrame:
-    """threshold, tp, fp, fn for every different probability, one running sum over them.
+    """threshold, pos, tp, fp, fn for every different probability and the grid of thousandths.
 
-    Thresholds between two probabilities classify alike, so these and 0, 1 and the grid of
-    thousandths decide the same operating points; probabilities are grouped (rounded to six places)
-    before they are put in order, so at most a million rows meet in one window.
+    Thresholds between two probabilities classify alike, so these decide the same operating points.
+    The running sums are taken over thousandths first and within them then, so no window holds all
+    probabilities.
     """
     known = rows.where(F.col(truth).isNotNull() & F.col(probability).isNotNull())
     grid = known.sparkSession.range(0, 1001).select((F.col("id") / 1000).alias("threshold"), F.lit(0).alias("pos"), F.lit(0).alias("neg"))
-    points = known.groupBy(F.round(F.col(probability), 6).alias("threshold")).agg(F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) != 1).alias("neg"))
-    both = points.unionByName(grid).groupBy("threshold").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    above = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return both.select("threshold", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"), (F.sum("pos").over(whole) - F.sum("pos").over(above)).alias("fn"))
+    points = known.groupBy(F.col(probability).cast("double").alias("threshold")).agg(F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) != 1).alias("neg"))
+    both = points.unionByName(grid).groupBy("threshold").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).withColumn("_part", F.floor(F.col("threshold") * 1000))
+    parts = both.groupBy("_part").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    higher = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)  # thousandths
+    all_parts = Window.partitionBy()
+    offsets = parts.select("_part", F.coalesce(F.sum("_p").over(higher), F.lit(0)).alias("_hp"), F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_hn"), F.sum("_p").over(all_parts).alias("_all"))
+    inside = Window.partitionBy("_part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    summed = both.withColumns({"_ip": F.sum("pos").over(inside), "_in": F.sum("neg").over(inside)}).join(offsets, "_part")
+    tp = F.col("_hp") + F.col("_ip")
+    return summed.select("threshold", "pos", tp.alias("tp"), (F.col("_hn") + F.col("_in")).alias("fp"), (F.col("_all") - tp).alias("fn"))
 
 
 def operating_thresholds(rows: DataFrame, truth: str, probability: str, sensitivity: float = 0.99, precision: float = 0.95) -> DataFrame:
     """exclude: the greatest threshold that keeps the sensitivity (else 0); include: the least with
-    the precision (else 1); where they cross, include moves above exclude."""
-    s = sweep(rows, truth, probability)
+    the precision (else 1); where they cross, include moves above exclude, to the lower quartile of
+    the positives (interpolated) at least."""
+    s = sweep(rows, truth, probability).withColumn("_n", F.col("tp") + F.col("fn")).withColumn("_rank", F.col("fn") + F.col("pos"))  # positives up to the threshold
+    place = (F.col("_n") - 1) * 0.25
+    at = lambda k: F.min(F.when((F.col("_rank") >= k + 1) & (F.col("pos") > 0), F.col("threshold")))
     found = s.agg(
-        F.coalesce(F.max(F.when(F.try_divide("tp", F.col("tp") + F.col("fn")) >= sensitivity, F.col("threshold"))), F.lit(0.0)).alias("exclude"),
+        F.coalesce(F.max(F.when(F.try_divide("tp", "_n") >= sensitivity, F.col("threshold"))), F.lit(0.0)).alias("exclude"),
         F.coalesce(F.min(F.when((F.try_divide("tp", F.col("tp") + F.col("fp")) >= precision) & (F.col("tp") > 0), F.col("threshold"))), F.lit(1.0)).alias("include"),
-    )
-    quarter = rows.agg(F.percentile(F.when(F.col(truth) == 1, F.col(probability)), F.lit(0.25)).alias("q"))
-    apart = F.least(F.lit(1.0), F.greatest(F.col("exclude") + 0.05, F.col("q")))
-    return found.crossJoin(quarter).select("exclude", F.round(F.when(F.col("include") <= F.col("exclude"), apart).otherwise(F.col("include")), 6).alias("include"))
+        at(F.floor(place)).alias("low"), at(F.ceil(place)).alias("high"), F.max(place - F.floor(place)).alias("part"),
+    )
+    quarter = F.col("low") + F.col("part") * (F.col("high") - F.col("low"))
+    apart = F.least(F.lit(1.0), F.greatest(F.col("exclude") + 0.05, quarter))
+    return found.select("exclude", F.when(F.col("include") <= F.col("exclude"), apart).otherwise(F.col("include")).alias("include"))
+
+
+def operating_points(rows: DataFrame, truth: str, probability: str, exclude: float, include: float) -> DataFrame:
+    """The metrics at the two boundaries, one row each."""
+    low = metrics(rows, truth, probability, exclude).withColumn("operating_point", F.lit("automatic-exclude boundary")).withColumn("threshold", F.lit(exclude))
+    high = metrics(rows, truth, probability, include).withColumn("operating_point", F.lit("automatic-retain boundary")).withColumn("threshold", F.lit(include))
+    return low.unionByName(high)
 
 
 def train(rows: DataFrame, label: str, text: str, most_rows: int = 50_000, features: int = 20_000, folds: int = 5, strengths: tuple[float, ...] = (0.03, 0.01, 0.003)):
@@ -104,7 +118,10 @@ def train(rows: DataFrame, label: str, text: str, most_rows: int = 50_000, featu
 
     spark = rows.sparkSession
     known = rows.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    known = known.withColumn("h", F.xxhash64("text")).orderBy("h").limit(most_rows).withColumn("tokens", tokens(F.col("text"))).withColumn("fold", F.pmod("h", F.lit(folds)))
+    known = known.withColumn("h", F.xxhash64("text")).orderBy("h").limit(most_rows).withColumn("words", words(F.col("text"))).withColumn("fold", F.pmod("h", F.lit(folds)))
+    # zip_with, not an index into the words: an outer expression inside a lambda runs once per element
+    pairs = F.zip_with("words", F.slice("words", F.lit(2), F.greatest(F.size("words"), F.lit(1))), lambda a, b: F.concat(a, F.lit("_"), b))
+    known = known.withColumn("tokens", F.concat("words", F.filter(pairs, lambda p: p.isNotNull())))
     counter = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=3, maxDF=0.98, vocabSize=features).fit(known)
     weigher = IDF(inputCol="tf", outputCol="features").fit(counter.transform(known))
     data = weigher.transform(counter.transform(known)).select("label", "features", "fold").persist()

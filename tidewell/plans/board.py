@@ -11,7 +11,7 @@ from ..operators import trends as tr
 from . import fragments as q
 from .tables import read
 
-BASE, RECENT, START = (2010, 2014), (2021, 2024), 2010
+BASE, RECENT, START = (2010, 2014), (2021, 2025), 2010
 
 
 def _split(x: str) -> str:
@@ -26,7 +26,7 @@ def _species(x: str) -> str:
     low = f"lower({q.squish(x)})"
     return (
         f"CASE WHEN {low} IN ({q.BAD}) OR (contains({low}, 'unspecified') AND regexp_matches({low}, 'salmon|salmonid|species')) THEN 'Unspecified species' "
-        f"WHEN {low} IN ('rainbow salmon', 'rainbow_trout', 'rainbow trout', 'steelhead', 'steelhead trout') THEN 'Rainbow trout' ELSE {q.squish(x)} END"
+        f"WHEN {low} IN ('rainbow salmon', 'rainbow_trout', 'rainbow trout') THEN 'Rainbow trout' ELSE {q.squish(x)} END"
     )
 
 
@@ -63,17 +63,17 @@ def _of(function, *more: str):
 
 
 def search_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = d.search(_view(spark, sf_dir), country="NOR", topic="Fish health", text="response", page=2, size=25)
+    page = d.search(_view(spark, sf_dir), country="NOR", topic="Fish health", text="changes", page=2, size=3)
     return page.select("record_id", "title", "year", F.array_join("species", "; ").alias("species"))
 
 
 def search_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = d.search(_view(spark, sf_dir), country="NOR", topic="Fish health", text="response", size=2_000_000_000)
+    found = d.matches(_view(spark, sf_dir), country="NOR", topic="Fish health", text="changes")
     return found.agg(F.count("*").alias("found"), F.greatest(F.lit(1), F.ceil(F.count("*") / 25)).alias("pages"))
 
 
 _FOUND = """f AS (SELECT * FROM v WHERE list_contains(iso3, 'NOR') AND len(list_filter(paths, lambda p: array_to_string(p, ' > ') = 'Fish health' OR starts_with(array_to_string(p, ' > '), 'Fish health > '))) > 0
-  AND contains(lower(concat_ws(' ', title, abstract, cast(year AS VARCHAR), array_to_string(species, ' '), array_to_string(iso3, ' '))), 'response'))"""
+  AND contains(lower(concat_ws(' ', title, abstract, cast(year AS VARCHAR), array_to_string(species, ' '), array_to_string(iso3, ' '))), 'changes'))"""
 
 
 def normalised_species_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +132,7 @@ ORACLES = {
     "ontology_audit": VIEW + "SELECT cast(len(p) AS INTEGER) AS depth, count(*) AS assignments, count(DISTINCT x) AS unique_paths, count(DISTINCT x) FILTER (prefix IS NULL) AS unmapped_paths, count(DISTINCT record_id) FILTER (prefix IS NULL) AS unmapped_records "
     "FROM (SELECT *, array_to_string(p, ' > ') AS x FROM pt) LEFT JOIN onto ON x = prefix GROUP BY 1",
     "level_pairs": VIEW + f"SELECT root, parent, child, {_N} FROM (SELECT record_id, p[1] AS root, p[i - 1] AS parent, p[i] AS child FROM (SELECT record_id, p, unnest(range(2, least(len(p), 9) + 1)) AS i FROM pt)) GROUP BY ALL",
-    "search_records": VIEW + f", {_FOUND} SELECT record_id, title, year, array_to_string(species, '; ') AS species FROM f ORDER BY trim(coalesce(title, '')) = '', lower(title) NULLS LAST, record_id LIMIT 25 OFFSET 25",
+    "search_records": VIEW + f", {_FOUND} SELECT record_id, title, year, array_to_string(species, '; ') AS species FROM f ORDER BY trim(coalesce(title, '')) = '', lower(title) NULLS LAST, record_id LIMIT 3 OFFSET 3",
     "search_count": VIEW + f", {_FOUND} SELECT count(*) AS found, cast(greatest(1, ceil(count(*) / 25)) AS BIGINT) AS pages FROM f",
     "normalised_species_cells": f"SELECT * FROM (SELECT record_id, coalesce(final_species, '') AS old, coalesce(array_to_string(list_transform({_split('final_species')}, lambda s: {_species('s')}), '; '), '') AS new FROM merge_master_update) WHERE old <> new",
     "without_countries": f"SELECT record_id, countries FROM (SELECT record_id, array_to_string(list_filter({_split('final_primary_country_iso3c')}, lambda z: lower(z) NOT IN ('fro', 'isl')), '; ') AS countries, array_to_string({_split('final_primary_country_iso3c')}, '; ') AS old FROM merge_master_update) WHERE countries <> old",

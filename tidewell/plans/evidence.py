@@ -18,7 +18,7 @@ from .tables import read
 MODEL = (("salmon", 0.5, 1.2), ("trout", 0.4, 0.9), ("whitefish", 0.6, 0.4), ("survey", 0.7, -0.6), ("market", 0.8, -1.1), ("deep_survey", 1.9, -0.3), ("preliminary_results", 1.4, 0.2))
 INTERCEPT, EXCLUDE, INCLUDE = -0.4, 0.35, 0.7
 #: A literal gazetteer of words that the titles and abstracts hold.
-PLACES = (("Loch", "United Kingdom", "GBR", "Europe"), ("Inlet", "Canada", "CAN", "North America"), ("Sound", "New Zealand", "NZL", "Oceania"), ("Bay", "Ireland", "IRL", "Europe"), ("winter", None, None, "Northern waters"))
+PLACES = (("Loch", "United Kingdom", "GBR", "Europe"), ("Inlet", "Canada", "CAN", "North America"), ("Sound", "New Zealand", "NZL", "Oceania"), ("Bay", "Ireland", "IRL", "Europe"), ("winter", None, None, "Northern waters"), ("Sound", "Norway", "NZZ", "Europe"))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def relevance_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STOP = ", ".join(f"'{w}'" for w in rv.STOPWORDS)
 _TERMS = f"""
-WITH w AS (SELECT record_sequence, list_filter(regexp_split_to_array(regexp_replace(lower(concat_ws(' ', title, abstract)), 'https?://\\S+', ' ', 'g'), '[^a-z0-9]+'), lambda x: x <> '' AND x NOT IN ({_STOP})) AS l FROM relevance_screening),
+WITH w AS (SELECT record_sequence, list_filter(regexp_split_to_array(regexp_replace(lower(concat_ws(' ', title, abstract)), 'https?://\\S+', ' ', 'g'), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '' AND x NOT IN ({_STOP})) AS l FROM relevance_screening),
 tm AS (SELECT record_sequence, unnest(l) AS term FROM w UNION ALL SELECT record_sequence, l[i] || '_' || l[i + 1] FROM (SELECT record_sequence, l, unnest(range(1, len(l))) AS i FROM w)),
 tc AS MATERIALIZED (SELECT record_sequence, term, count(*) AS tf FROM tm GROUP BY ALL)
 """
@@ -75,11 +75,11 @@ def operating_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATING_THRESHOLDS = """
 WITH k AS (SELECT eligibility AS y, relevance_probability AS p FROM relevance_screening WHERE eligibility IS NOT NULL AND relevance_probability IS NOT NULL),
-g AS (SELECT round(p, 6) AS t, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y <> 1) AS neg FROM k GROUP BY 1 UNION ALL SELECT i / 1000, 0, 0 FROM range(0, 1001) r(i)),
+g AS (SELECT p AS t, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y <> 1) AS neg FROM k GROUP BY 1 UNION ALL SELECT i / 1000, 0, 0 FROM range(0, 1001) r(i)),
 u AS (SELECT t, sum(pos) AS pos, sum(neg) AS neg FROM g GROUP BY t),
 s AS (SELECT t, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS allpos FROM u WINDOW w AS (ORDER BY t DESC ROWS UNBOUNDED PRECEDING)),
 f AS (SELECT coalesce(max(t) FILTER (tp / nullif(allpos, 0) >= 0.9), 0.0) AS e, coalesce(min(t) FILTER (tp / nullif(tp + fp, 0) >= 0.5 AND tp > 0), 1.0) AS i FROM s)
-SELECT e AS exclude, round(CASE WHEN i <= e THEN least(1.0, greatest(e + 0.05, (SELECT quantile_cont(p, 0.25) FROM k WHERE y = 1))) ELSE i END, 6) AS include FROM f"""
+SELECT e AS exclude, CASE WHEN i <= e THEN least(1.0, greatest(e + 0.05, (SELECT quantile_cont(p, 0.25) FROM k WHERE y = 1))) ELSE i END AS include FROM f"""
 
 
 def relevance_train(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +87,10 @@ def relevance_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.withColumn("intercept", F.lit(intercept))
 
 
+#: The part of the generic, the ruling genus and the weak species, played by entries of the given dictionary.
+GENERIC, GENUS, WEAK = "UNSPEC_FINFISH", "Fluvitrutta", ("NOR_IGNIVA00",)
+
+
 def species_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mn.species_mentions(read(spark, sf_dir, "relevance_screening"), read(spark, sf_dir, "species_dictionary"))
 
@@ -94,8 +98,33 @@ def species_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def species_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read(spark, sf_dir, "relevance_screening")
     found = mn.species_mentions(records, read(spark, sf_dir, "species_dictionary"))
-    eligible = mn.filter_generic(found, F.lower("species_id").rlike("(unspecified|generic).*salmon"))
-    return mn.assign_species(eligible, records.select(F.col("record_sequence").cast("bigint").alias("id")))
+    eligible = mn.filter_generic(found, F.col("species_id") == GENERIC, GENUS)
+    return mn.assign_species(eligible, records.select(F.col("record_sequence").cast("bigint").alias("id")), GENERIC, WEAK)
+
+
+_SPECIES = """
+WITH tx AS (SELECT record_sequence AS id, 'title' AS source, title AS txt FROM relevance_screening UNION ALL SELECT record_sequence, 'abstract', abstract FROM relevance_screening),
+sy AS (SELECT DISTINCT synonym AS term, species_id FROM species_dictionary WHERE synonym IS NOT NULL AND trim(synonym) <> ''),
+sp AS (SELECT species_id, min(preferred_name) AS preferred_name, min(scientific_name) AS scientific_name, bool_or(is_farmed_candidate) AS is_farmed_candidate, min(default_group) AS default_group FROM species_dictionary GROUP BY 1),
+ps AS (SELECT id, source, txt, term, species_id, unnest(range(1, greatest(2, length(txt) - length(term) + 2))) AS i FROM tx JOIN sy ON contains(lower(txt), lower(term))),
+hit AS MATERIALIZED (SELECT DISTINCT id, source, species_id, i AS s, i + length(term) - 1 AS e, substr(txt, i, length(term)) AS matched_text FROM ps WHERE lower(substr(txt, i, length(term))) = lower(term)
+  AND NOT regexp_matches(substr(txt, i + length(term), 1), '[A-Za-z0-9_]') AND (i = 1 OR NOT regexp_matches(substr(txt, i - 1, 1), '[A-Za-z0-9_]'))),
+kept AS MATERIALIZED (SELECT * FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit o WHERE o.id = h.id AND o.source = h.source AND o.s <= h.e AND h.s <= o.e AND (o.e - o.s > h.e - h.s OR o.e - o.s = h.e - h.s AND (o.s < h.s OR o.s = h.s AND o.species_id < h.species_id)))),
+mn AS MATERIALIZED (SELECT cast(id AS BIGINT) AS id, source, kept.species_id, matched_text, cast(s AS INTEGER) AS match_start, cast(e AS INTEGER) AS match_end, preferred_name, scientific_name, is_farmed_candidate, default_group FROM kept JOIN sp USING (species_id))
+"""
+SPECIES_MENTIONS = _SPECIES + "SELECT * FROM mn"
+_ASSIGNED = (
+    _SPECIES
+    + """, el AS (SELECT * FROM mn m WHERE NOT (species_id = 'UNSPEC_FINFISH' AND lower(matched_text) NOT IN ('salmon farm', 'salmon farms', 'farmed salmon', 'salmon aquaculture', 'salmon cage', 'salmon cages', 'salmon pen', 'salmon pens')
+  AND EXISTS (SELECT 1 FROM mn o WHERE o.id = m.id AND o.source = m.source AND NOT o.is_farmed_candidate AND regexp_matches(o.scientific_name, '(?i)^Fluvitrutta\\s+[A-Za-z-]+$') AND abs((o.match_start + o.match_end) / 2.0 - (m.match_start + m.match_end) / 2.0) <= 120))),
+un AS (SELECT DISTINCT id, species_id, preferred_name, is_farmed_candidate FROM el), fa AS (SELECT * FROM un u WHERE is_farmed_candidate AND NOT (species_id = 'UNSPEC_FINFISH' AND EXISTS (SELECT 1 FROM un o WHERE o.id = u.id AND o.is_farmed_candidate AND o.species_id NOT IN ('UNSPEC_FINFISH', 'NOR_IGNIVA00')))),
+nt AS (SELECT id, string_agg(DISTINCT preferred_name, '; ' ORDER BY preferred_name) AS non_target_species FROM un WHERE NOT is_farmed_candidate GROUP BY id), fc AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM fa),
+sa AS (SELECT r.id, fc.species_id AS farmed_species_id, fc.preferred_name AS farmed_species, CASE WHEN n IS NULL THEN 'unresolved' WHEN n = 1 THEN 'primary' ELSE 'co-primary' END AS assignment_role, n IS NULL AS review_required,
+  CASE WHEN n = 1 THEN 'One eligible farmed species detected' WHEN n > 1 THEN n || ' eligible farmed species detected; none treated as primary' WHEN non_target_species IS NOT NULL THEN 'Only non-target species detected' ELSE 'No eligible farmed species detected' END AS assignment_reason, non_target_species
+  FROM (SELECT cast(record_sequence AS BIGINT) AS id FROM relevance_screening) r LEFT JOIN fc ON r.id = fc.id LEFT JOIN nt ON r.id = nt.id)
+"""
+)
+SPECIES_ASSIGNMENTS = _ASSIGNED + "SELECT * FROM sa"
 
 
 def _gazetteer(spark: SparkSession) -> DataFrame:
@@ -114,14 +143,15 @@ def country_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mn.country_summary(*mn.primary_countries(_ranking(spark, sf_dir)))
 
 
-_PLACE_ROWS = ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in p) + ")" for p in PLACES)
+#: The SQL has each name once: of the two rows named Sound the first by code is the one that counts.
+_PLACE_ROWS = ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in p) + ")" for p in PLACES if p[2] != "NZZ")
 _ARTEFACT = " OR ".join(f"contains(ctx, '{a}')" for a in mn.ARTEFACTS)
 _RANK = f"""
 WITH gz(place, country_name, iso3c, region_name) AS (VALUES {_PLACE_ROWS}),
 tx AS (SELECT record_sequence AS id, 'title' AS source, title AS txt FROM relevance_screening UNION ALL SELECT record_sequence, 'abstract', abstract FROM relevance_screening),
 ps AS (SELECT id, source, txt, gz.*, unnest(range(1, greatest(2, length(txt) - length(place) + 2))) AS i FROM tx JOIN gz ON contains(lower(txt), lower(place))),
 mt AS (SELECT * FROM ps WHERE lower(substr(txt, i, length(place))) = lower(place) AND NOT regexp_matches(substr(txt, i + length(place), 1), '[A-Za-z0-9_]') AND (i = 1 OR NOT regexp_matches(substr(txt, i - 1, 1), '[A-Za-z0-9_]'))),
-mc AS (SELECT *, lower(trim(regexp_replace(substr(txt, greatest(1, i - 100), length(place) + 200), '\\s+', ' ', 'g'))) AS ctx FROM mt),
+mc AS (SELECT *, lower(trim(regexp_replace(substr(txt, greatest(1, i - 100), least(i, 101) - 1 + length(place) + 100), '\\s+', ' ', 'g'))) AS ctx FROM mt),
 kp AS (SELECT *, CASE WHEN source = 'title' THEN 1 WHEN regexp_matches(ctx, '{mn.LOCATION}') THEN 2 WHEN regexp_matches(ctx, '{mn.ENTITY}') AND NOT regexp_matches(ctx, '{mn.BACKGROUND}') THEN 3 WHEN regexp_matches(ctx, '{mn.BACKGROUND}') THEN 5 ELSE 4 END AS tier
   FROM mc WHERE iso3c IS NOT NULL AND NOT ({_ARTEFACT}) AND NOT regexp_matches(ctx, '\\b' || lower(place) || '\\s+(salmon|trout|char|grayling|fish)\\b')),
 tt AS (SELECT id, count(DISTINCT iso3c) AS n FROM kp WHERE source = 'title' GROUP BY id),
@@ -285,6 +315,6 @@ QUERIES = {
 ORACLES = {
     "relevance_scores": RELEVANCE_SCORES, "term_idf": TERM_IDF, "screening_metrics": SCREENING_METRICS, "operating_thresholds": OPERATING_THRESHOLDS,
     "country_ranking": COUNTRY_RANKING, "country_assignments": COUNTRY_ASSIGNMENTS, "publication_status": PUBLICATION_STATUS, "due_retractions": DUE_RETRACTIONS,
-    "final_screening": FINAL_SCREENING, "topic_map": TOPIC_MAP, "merge_checks": MERGE_CHECKS, "key_problems": KEY_PROBLEMS, "manifest": MANIFEST,
+    "species_mentions": SPECIES_MENTIONS, "species_assignments": SPECIES_ASSIGNMENTS, "final_screening": FINAL_SCREENING, "topic_map": TOPIC_MAP, "merge_checks": MERGE_CHECKS, "key_problems": KEY_PROBLEMS, "manifest": MANIFEST,
     "upserted_master": UPSERTED_MASTER, "harvest_window": HARVEST_WINDOW, "weekly_harvest": WEEKLY_HARVEST,
 }

@@ -25,7 +25,7 @@ def clean_html(x: str) -> str:
 
 
 def to_ascii(x: str) -> str:
-    plain = f"translate(lower({x}), '{ACCENTED}', '{PLAIN}')"
+    plain = f"translate(regexp_replace(lower({x}), '\\p{{Mn}}+', '', 'g'), '{ACCENTED}', '{PLAIN}')"
     for letter, two in DOUBLED.items():
         plain = f"replace({plain}, '{letter}', '{two}')"
     return plain

@@ -41,13 +41,18 @@ def weekly_counts(rows: DataFrame, created: str, identity: list[str], overlap: s
 
 
 def run_harvest(stream: DataFrame, out: str, history: str, checkpoint: str, identity: list[str], created: str):
-    """Writes new rows and a history row per batch, once for all that is there (availableNow)."""
+    """Writes new rows and a history row per batch, once for all that is there (availableNow).
+
+    Rows and history are kept by batch number and that part is overwritten, so a batch that is run
+    again after a failure is not there twice.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        batch.write.mode("append").parquet(out)
+        keep = lambda df, path: df.withColumn("batch", F.lit(number)).write.mode("overwrite").partitionBy("batch").option("partitionOverwriteMode", "dynamic").parquet(path)
+        keep(batch, out)
         audit = batch.agg(F.lit(number).alias("run"), F.count("*").alias("candidate_results"), F.max(created).alias("last_created"))
-        audit.withColumn("status", F.when(F.col("candidate_results") > 0, "records_found").otherwise("no_records")).write.mode("append").parquet(history)
+        keep(audit.withColumn("status", F.when(F.col("candidate_results") > 0, "records_found").otherwise("no_records")), history)
         batch.unpersist()
 
     return first_seen(stream, identity, created).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
