@@ -77,9 +77,9 @@ _FOUND = """f AS (SELECT * FROM v WHERE list_contains(iso3, 'NOR') AND len(list_
 
 
 def normalised_species_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = read(spark, sf_dir, "merge_master_update")
-    new = F.array_join(F.array_distinct(F.transform(fv.split_values(F.col("final_species")), lambda s: fv.canonical_species(s))), "; ")
-    return m.select("record_id", F.coalesce("final_species", F.lit("")).alias("old"), new.alias("new")).where("old <> new")
+    b = read(spark, sf_dir, "build_dashboard")
+    new = F.array_join(F.array_distinct(F.transform(fv.split_values(F.col("species")), lambda s: fv.canonical_species(s))), "; ")
+    return b.select("record_id", F.coalesce("species", F.lit("")).alias("old"), new.alias("new")).where("old <> new")
 
 
 def without_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +134,7 @@ ORACLES = {
     "level_pairs": VIEW + f"SELECT root, parent, child, {_N} FROM (SELECT record_id, p[1] AS root, p[i - 1] AS parent, p[i] AS child FROM (SELECT record_id, p, unnest(range(2, least(len(p), 9) + 1)) AS i FROM pt)) GROUP BY ALL",
     "search_records": VIEW + f", {_FOUND} SELECT record_id, title, year, array_to_string(species, '; ') AS species FROM f ORDER BY trim(coalesce(title, '')) = '', lower(title) NULLS LAST, record_id LIMIT 3 OFFSET 3",
     "search_count": VIEW + f", {_FOUND} SELECT count(*) AS found, cast(greatest(1, ceil(count(*) / 25)) AS BIGINT) AS pages FROM f",
-    "normalised_species_cells": f"SELECT * FROM (SELECT record_id, coalesce(final_species, '') AS old, coalesce(array_to_string(list_transform({_split('final_species')}, lambda s: {_species('s')}), '; '), '') AS new FROM merge_master_update) WHERE old <> new",
+    "normalised_species_cells": f"SELECT record_id, old, new FROM (SELECT record_id, old, coalesce(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '; '), '') AS new FROM (SELECT record_id, coalesce(species, '') AS old, list_transform({_split('species')}, lambda s: {_species('s')}) AS l FROM build_dashboard)) WHERE old <> new",
     "without_countries": f"SELECT record_id, countries FROM (SELECT record_id, array_to_string(list_filter({_split('final_primary_country_iso3c')}, lambda z: lower(z) NOT IN ('fro', 'isl')), '; ') AS countries, array_to_string({_split('final_primary_country_iso3c')}, '; ') AS old FROM merge_master_update) WHERE countries <> old",
     "topic_options": VIEW + "SELECT split_part(prefix, ' > ', 1) AS root, string_agg(prefix, '|' ORDER BY prefix) AS options FROM onto GROUP BY 1",
     "year_species": VIEW + f"SELECT year, species, {_N} FROM (SELECT record_id, year, unnest(species) AS species FROM v WHERE year IS NOT NULL) GROUP BY ALL",

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import board, cleaning, evidence, links, packed
+from . import board, cleaning, evidence, links, packed, upkeep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-for _module in (packed, cleaning, links, board, evidence):
+for _module in (packed, cleaning, links, board, evidence, upkeep):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)

@@ -79,16 +79,6 @@ LINK_NEW_VS_MASTER = _LINK + "SELECT * FROM linked"
 LINK_STATUS_COUNTS = _LINK + "SELECT duplicate_status, duplicate_basis, count(*) AS records FROM linked GROUP BY ALL"
 
 
-def label_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return k.label_conflicts(read(spark, sf_dir, "relevance_screening"))
-
-
-LABEL_CONFLICTS = f"""
-WITH x AS (SELECT {q.title_key('title')} AS tk, {q.doi_key('doi')} AS dk, eligibility FROM relevance_screening WHERE eligibility IS NOT NULL)
-SELECT 'title' AS basis, tk AS key, count(*) AS records, count(DISTINCT eligibility) AS labels FROM x WHERE tk <> '' GROUP BY tk HAVING count(DISTINCT eligibility) > 1
-UNION ALL SELECT 'doi', dk, count(*), count(DISTINCT eligibility) FROM x WHERE dk <> '' GROUP BY dk HAVING count(DISTINCT eligibility) > 1"""
-
-
 def collapse_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.collapse_training(read(spark, sf_dir, "relevance_screening"))
 
@@ -134,11 +124,11 @@ IDENTITY_DUPLICATES = f"SELECT count(key) AS records, count(DISTINCT key) AS ide
 
 QUERIES = {
     "duplicate_classes": duplicate_classes, "canonical_records": canonical_records, "link_new_vs_master": link_new_vs_master, "link_status_counts": link_status_counts,
-    "label_conflicts": label_conflicts, "collapse_training": collapse_training, "stratified_split": stratified_split, "harvest_dedupe": harvest_dedupe,
+ "collapse_training": collapse_training, "stratified_split": stratified_split, "harvest_dedupe": harvest_dedupe,
     "identity_duplicates": identity_duplicates,
 }
 ORACLES = {
     "duplicate_classes": DUPLICATE_CLASSES, "canonical_records": CANONICAL_RECORDS, "link_new_vs_master": LINK_NEW_VS_MASTER, "link_status_counts": LINK_STATUS_COUNTS,
-    "label_conflicts": LABEL_CONFLICTS, "collapse_training": COLLAPSE_TRAINING, "stratified_split": STRATIFIED_SPLIT, "harvest_dedupe": HARVEST_DEDUPE,
+    "collapse_training": COLLAPSE_TRAINING, "stratified_split": STRATIFIED_SPLIT, "harvest_dedupe": HARVEST_DEDUPE,
     "identity_duplicates": IDENTITY_DUPLICATES,
 }
