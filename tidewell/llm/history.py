@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 from itertools import combinations
 
@@ -99,11 +99,29 @@ def distance(a: str, b: str, most: int) -> int:
     return min(last[-1], most + 1)
 
 
+def _deletions(word: str) -> list[str]:
+    return [word, *(word[:i] + word[i + 1 :] for i in range(len(word)))]
+
+
+def _by_deletions(words: Iterable[str]) -> dict[str, list[str]]:
+    """Words by themselves less one letter; words one edit apart share such a form."""
+    out: dict[str, list[str]] = {}
+    for w in sorted(words):
+        for d in _deletions(w):
+            out.setdefault(d, []).append(w)
+    return out
+
+
+def _sharing(word: str, table: dict[str, list[str]]) -> list[str]:
+    return sorted({w for d in _deletions(word) for w in table.get(d, ())}) if table else []
+
+
 class Wording:
     """Words that stand for one another, words that come and go, and what differences cost."""
 
     def __init__(self, levelled: dict[str, str] | None = None, frames: frozenset[str] = frozenset(), pairs: frozenset[tuple[str, str]] = frozenset()):
         self.levelled, self.frames, self.pairs = levelled or {}, FRAME_WORDS | frames, pairs
+        self.small, self.forms = _by_deletions(self.frames | FUNCTION_WORDS), _by_deletions(w for w in self.levelled if len(w) > 3)
         self.costs: dict[str, float] = {}
         self.changes: dict[tuple[str, str], float] = {}
 
@@ -124,7 +142,7 @@ class Wording:
             return 0.25
         if len(word) <= 3:
             return 0.5
-        if any(abs(len(f) - len(word)) <= 1 and distance(word, f, 1) <= 1 for f in self.frames | FUNCTION_WORDS):
+        if any(distance(word, f, 1) <= 1 for f in _sharing(word, self.small)):
             return 0.5
         return 9.0
 
@@ -153,7 +171,7 @@ class Wording:
 
     def meant(self, word: str) -> list[str]:
         """Words with a levelled form of which the word may be a misspelling."""
-        return [near for near in self.levelled if len(near) > 3 and abs(len(near) - len(word)) <= 1 and distance(word, near, 1) <= 1]
+        return [near for near in _sharing(word, self.forms) if distance(word, near, 1) <= 1]
 
 
 PLAIN = Wording()
