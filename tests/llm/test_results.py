@@ -20,10 +20,26 @@ def screening(spark, rows):
 def test_all_queries_run(spark, sf_dir):
     for name, query in queries.QUERIES.items():
         df = query(spark, sf_dir)
-        assert df.count() >= 0, name
+        assert not df.isEmpty() or name == "p10_found", name  # few labels at this size
         assert df.count() == df.distinct().count(), name
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_same_rows_as_sql(spark, sf_dir, name):
+    from oracle import connect, difference
+
+    assert difference(queries.QUERIES[name](spark, sf_dir), queries.ORACLES[name], connect(sf_dir)) == ""
+
+
+def test_shares_and_rates_add_up(spark, sf_dir):
+    shares, mix = queries.p9_shares(spark, sf_dir).collect(), queries.p9_mix(spark, sf_dir).collect()
+    assert sum(r.mixed_tokens for r in shares) == sum(r.tokens * r.copies for r in mix) and abs(sum(r.actual_share for r in shares) - 1) < 1e-9
+    assert all(r.copies <= next(s.max_repeats for s in shares if s.source == r.source) for r in mix)
+    rates, found = queries.p10_rates(spark, sf_dir).collect(), queries.p10_found(spark, sf_dir).count()
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert sum(r.documents for r in rates) == documents.count() and sum(r.flagged for r in rates) == found == sum(round(r.rate * r.documents) for r in rates)
+
+
 # 1. names
 
 

@@ -29,6 +29,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivorship.surviving_members(_table(spark, sf_dir, "merge_master_update"))
 
 
+def p3_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survivorship.trusted_records(_table(spark, sf_dir, "merge_master_update"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeated_rows(_table(spark, sf_dir, "relevance_screening"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_copies": p2_copies,
     "p3_found": p3_found,
+    "p3_trusted": p3_trusted,
     "p4_found": p4_found,
     "p6_found": p6_found,
     "p6_cleaned": p6_cleaned,
@@ -86,4 +91,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_found": p10_found,
     "p10_rates": p10_rates,
 }
-ORACLES: dict[str, str] = {}
+
+
+def _doi(x: str) -> str:
+    bare = f"regexp_replace(replace(lower({x}), '%2f', '/'), '^[\\s\\p{{Z}}]*(?:https?:/+)?(?:(?:dx\\.|www\\.)?doi\\.org/+)?(?:doi[\\s\\p{{Z}}]*:?[\\s\\p{{Z}}]*)?', '')"
+    return f"nullif(regexp_extract({bare}, '^(10\\.\\d{{3,9}}/[^\\s\\p{{Z}}]*[\\p{{L}}\\p{{N}})])[\\p{{P}}\\s\\p{{Z}}]*$', 1), '')"
+
+
+_PLACEHOLDER = "lower(trim(t)) IN ('na', 'n/a', '-', 'nan', 'null', 'none', '')"
+_COPIES = f"""
+WITH a AS (SELECT record_sequence, title, doi, {_doi('title')} AS dt, {_doi('doi')} AS dd FROM relevance_screening),
+b AS (SELECT record_sequence, CASE WHEN dt IS NOT NULL AND dd IS NULL THEN doi ELSE title END AS t, CASE WHEN dt IS NOT NULL AND dd IS NULL THEN dt ELSE dd END AS d FROM a),
+c AS (SELECT record_sequence, coalesce(CASE WHEN NOT ({_PLACEHOLDER}) THEN regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}\\p{{M}}&]+', '', 'g') END, '') AS k, coalesce(d, '') AS d FROM b),
+g AS (SELECT record_sequence, min(record_sequence) OVER (PARTITION BY k, d) AS first, count(*) OVER (PARTITION BY k, d) AS n FROM c WHERE k <> '' OR d <> '')
+"""
+_SURVIVORS = """
+WITH l AS (SELECT duplicate_group AS g, record_id AS m, updated_at AS u, source, unnest(['pages', 'url_raw', 'doi']) AS f, trim(unnest([pages, url_raw, doi])) AS v FROM merge_master_update WHERE duplicate_group IS NOT NULL),
+k AS (SELECT *, CASE f WHEN 'doi' THEN regexp_replace(lower(v), '^https?://(?:dx\\.)?doi\\.org/', '') ELSE v END AS c, CASE f
+  WHEN 'pages' THEN regexp_matches(v, '^(?:(?:pp?\\.?\\s*)?[A-Za-z]{0,3}\\d+\\s*[-–—−]+\\s*[A-Za-z]{0,3}\\d+|[eE]\\d+)$')
+  WHEN 'url_raw' THEN regexp_matches(v, '^[hH][tT][tT][pP][sS]?://[^\\s/?#]+\\.[^\\s/?#]+/[^\\s]*[^\\s./…]/?$') AND NOT regexp_matches(v, '(?:\\.\\.\\.|…)$')
+  ELSE regexp_matches(v, '^(?:[hH][tT][tT][pP][sS]?://(?:[dD][xX]\\.)?[dD][oO][iI]\\.[oO][rR][gG]/)?10\\.\\d{4,9}/\\S*[^\\s.…]$') AND NOT regexp_matches(v, '(?:\\.\\.\\.|…)$') AND length(replace(v, '(', '')) = length(replace(v, ')', '')) END AS ok FROM l WHERE v IS NOT NULL AND v <> ''),
+w AS (SELECT * FROM k a WHERE ok AND NOT EXISTS (SELECT 1 FROM k b WHERE b.g = a.g AND b.f = a.f AND length(b.c) > length(a.c) AND starts_with(b.c, a.c)))
+"""
+_TRUSTED = "max(v) FILTER (f = '{0}' AND n = 1) AS {0}"
+ORACLES: dict[str, str] = {
+    "p3_found": _SURVIVORS + "SELECT g AS duplicate_group, f AS field_name, m AS record_id FROM w QUALIFY row_number() OVER (PARTITION BY g, f ORDER BY u DESC NULLS LAST, v DESC, m DESC) = 1",
+    "p3_trusted": _SURVIVORS + f"SELECT g AS duplicate_group, {', '.join(_TRUSTED.format(f) for f in ('pages', 'url_raw', 'doi'))} FROM (SELECT *, row_number() OVER (PARTITION BY g, f ORDER BY CASE source WHEN 'lens_api' THEN 3 WHEN 'manual_ris' THEN 2 WHEN 'backfile' THEN 1 ELSE 0 END DESC, u DESC NULLS LAST, v DESC, m DESC) AS n FROM w) GROUP BY g",
+    "p2_found": _COPIES + "SELECT first AS first_sequence, record_sequence AS copy_sequence FROM g WHERE record_sequence > first",
+    "p2_copies": _COPIES + "SELECT DISTINCT first AS first_sequence, n AS copies FROM g",
+}

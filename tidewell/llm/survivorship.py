@@ -95,3 +95,16 @@ def surviving_members(master: DataFrame) -> DataFrame:
         .select("duplicate_group", "r.field_name", "r.record_id")
         .where("record_id is not null")
     )
+
+
+#: How far sources are trusted, the most first; others come last.
+TRUST = ("lens_api", "manual_ris", "backfile")
+
+
+def trusted_records(master: DataFrame, trust: tuple[str, ...] = TRUST) -> DataFrame:
+    """One record per duplicate group, each field from the most trusted source that has it complete,
+    then the latest; a group without any complete value has no record."""
+    place = F.array_position(F.array(*[F.lit(s) for s in trust]), F.col("source"))
+    rank = F.when(place > 0, len(trust) + 1 - place).otherwise(0)
+    best = survivors(master, "duplicate_group", "record_id", "updated_at", FIELDS, rank)
+    return best.select("duplicate_group", *[F.col(f"{f}_value").alias(f) for f in FIELDS])
