@@ -181,6 +181,16 @@ def adjudication_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.adjudication_queue(ids, species_assignments(spark, sf_dir), summary, ranking)
 
 
+ADJUDICATION_QUEUE = f"""
+WITH sa AS ({SPECIES_ASSIGNMENTS}), cs AS ({COUNTRY_ASSIGNMENTS}), cr AS ({COUNTRY_RANKING}),
+fd AS (SELECT id, string_agg(DISTINCT nullif(farmed_species, ''), '; ' ORDER BY nullif(farmed_species, '')) AS deterministic_species, string_agg(DISTINCT nullif(farmed_species_id, ''), '; ' ORDER BY nullif(farmed_species_id, '')) AS deterministic_species_ids,
+  string_agg(DISTINCT assignment_reason, '; ' ORDER BY assignment_reason) AS species_reasons, string_agg(DISTINCT non_target_species, '; ' ORDER BY non_target_species) AS non_target_species, bool_or(review_required) AS s FROM sa GROUP BY id),
+pl AS (SELECT id, string_agg(country_name || ' [' || iso3c || ']; tier ' || best_tier, ' | ' ORDER BY best_tier, iso3c) AS geography_candidates FROM cr GROUP BY id)
+SELECT cast(r.record_sequence AS BIGINT) AS id, r.record_id, r.title, deterministic_species, deterministic_species_ids, species_reasons, non_target_species, coalesce(s, false) AS species_review_required, coalesce(cs.review_required, false) AS geography_review_required,
+  cs.review_reason AS geography_review_reason, cs.primary_countries AS deterministic_primary_countries, geography_candidates
+FROM relevance_screening r LEFT JOIN fd ON fd.id = r.record_sequence LEFT JOIN cs ON cs.id = r.record_sequence LEFT JOIN pl ON pl.id = r.record_sequence WHERE coalesce(s, false) OR coalesce(cs.review_required, false)"""
+
+
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stand-in for the outside lookup: DOIs that end in 7 are retracted, those in 3 are unknown."""
     dois = read(spark, sf_dir, "relevance_screening").select(t.lookup_doi(F.col("doi")).alias("doi"))
@@ -315,6 +325,6 @@ QUERIES = {
 ORACLES = {
     "relevance_scores": RELEVANCE_SCORES, "term_idf": TERM_IDF, "screening_metrics": SCREENING_METRICS, "operating_thresholds": OPERATING_THRESHOLDS,
     "country_ranking": COUNTRY_RANKING, "country_assignments": COUNTRY_ASSIGNMENTS, "publication_status": PUBLICATION_STATUS, "due_retractions": DUE_RETRACTIONS,
-    "species_mentions": SPECIES_MENTIONS, "species_assignments": SPECIES_ASSIGNMENTS, "final_screening": FINAL_SCREENING, "topic_map": TOPIC_MAP, "merge_checks": MERGE_CHECKS, "key_problems": KEY_PROBLEMS, "manifest": MANIFEST,
+    "adjudication_queue": ADJUDICATION_QUEUE, "species_mentions": SPECIES_MENTIONS, "species_assignments": SPECIES_ASSIGNMENTS, "final_screening": FINAL_SCREENING, "topic_map": TOPIC_MAP, "merge_checks": MERGE_CHECKS, "key_problems": KEY_PROBLEMS, "manifest": MANIFEST,
     "upserted_master": UPSERTED_MASTER, "harvest_window": HARVEST_WINDOW, "weekly_harvest": WEEKLY_HARVEST,
 }
