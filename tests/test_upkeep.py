@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import text as t
 from tidewell.functions import values as v
-from tidewell.operators import dashboard, figures, mentions, relevance, upkeep
-from tidewell.sources import model, paged, target
+from tidewell.operators import dashboard, figures, linkage, mentions, relevance, upkeep
+from tidewell.sources import model, paged, ris, tables, target
 from tidewell.streaming import harvest
 
 RECORDS = "record_sequence int, record_id string, title string, abstract string"
@@ -222,3 +222,30 @@ def test_a_batch_that_is_run_again_is_there_once(spark, tmp_path):
         harvest.run_harvest(stream, *paths, str(tmp_path / f"c{number}"), ["k"], "c").awaitTermination(60)
     assert spark.read.parquet(paths[0]).count() == 2
     assert spark.read.parquet(paths[1]).groupBy("run").count().where("count > 1").isEmpty()
+
+
+def test_manual_files_and_ordinal_ids(spark, tmp_path):
+    (tmp_path / "a.ris").write_text("TY - JOUR\nTI - One\nDO - 10.1/a\nER - \nTY - JOUR\nTI - Two\nER - \n")
+    rows = ris.read_loose_ris(spark, str(tmp_path / "a.ris"))
+    assert [[(i.type, i.value) for i in r.external_ids] for r in rows.orderBy("block").collect()] == [[("doi", "10.1/a")], []]
+    assert ris.manual_manifest(rows, "a.ris").first().asDict() == {"source_file": "a.ris", "records": 2, "with_doi": 1, "status": "records_found", "downstream_action": "run_update"}
+    assert ris.manual_manifest(rows.where("false"), "a.ris").first().status == "no_records"
+    records = spark.createDataFrame([(3, None, "C"), (1, "x", "A"), (2, "", "B")], "n int, record_id string, title string")
+    full = records.withColumns({"abstract": F.lit(None).cast("string"), "authors": F.lit(None).cast("array<string>"), "doi": F.lit(None).cast("string"), "year": F.lit(None).cast("int")})
+    assert sorted(r.value.split("\n")[1] for r in ris.to_ris(full, "n").collect()) == ["ID  - 2", "ID  - 3", "ID  - x"]
+
+
+def test_ids_as_texts_and_reference_tables(spark, tmp_path):
+    (tmp_path / "h.json").write_text(json.dumps([{"lens_id": "1", "external_ids": ["x", "10.1/z"], "authors": ["A"]}, {"lens_id": "2", "external_ids": [{"type": "DOI", "value": "10.1/y"}]}]))
+    got = {r.lens_id: r.doi for r in tables.read_harvest(spark, str(tmp_path / "h.json")).collect()}
+    assert got == {"1": "10.1/z", "2": "10.1/y"}
+    told = tables.reference_problems(spark.createDataFrame([], "a string"), "places", ["a", "b"]).collect()
+    assert [(r.table, r.problem) for r in told] == [("places", "lacks b"), ("places", "has no rows")]
+
+
+def test_four_outputs_of_deduplication(spark):
+    rows = [(i, f"r{i}", title, "S", 2020, "J", "1", "1", "1", None) for i, title in ((1, "T"), (2, "T"), (3, "Other"))]
+    schema = "record_sequence int, record_id string, title string, authors string, year int, journal string, volume string, issue string, pages string, doi string"
+    got = linkage.deduplicated(spark.createDataFrame(rows, schema), F.col("record_id") == "r2")
+    assert got["records"].count() == 3 and [(r.canonical_id, r.duplicate_id) for r in got["automatic_duplicates"].collect()] == [("r2", "r1")]
+    assert got["candidates"].count() == got["automatic_duplicates"].count() + got["review_candidates"].count()

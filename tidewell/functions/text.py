@@ -158,7 +158,7 @@ def short_abstract(text: Column, n: int = 220) -> Column:
 
 def author_line(authors: Column) -> Column:
     """One or two authors joined by "and", of more the first "et al."."""
-    names = F.filter(F.transform(F.split(F.coalesce(authors, F.lit("")), r"[;|]"), lambda x: F.trim(x)), lambda x: x != "")
+    names = F.filter(F.transform(F.split(F.coalesce(authors, F.lit("")), r"[;|]|\s+and\s+"), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.size(names) <= 2, F.array_join(names, " and ")).otherwise(F.concat(F.get(names, F.lit(0)), F.lit(" et al.")))
 
 

@@ -125,6 +125,14 @@ def ontology_audit(view: DataFrame, ontology: DataFrame) -> DataFrame:
     )
 
 
+def unmapped_paths(view: DataFrame, ontology: DataFrame, most: int = 20) -> DataFrame:
+    """The ``most`` used paths that the ontology lacks, with their records and assignments."""
+    rows = view.select("record_id", F.explode("paths").alias("p")).select("record_id", F.array_join("p", " > ").alias("path"))
+    lacking = rows.join(ontology_prefixes(ontology).withColumnRenamed("prefix", "path"), "path", "left_anti")
+    counts = lacking.groupBy("path").agg(F.count_distinct("record_id").alias("records"), F.count("*").alias("assignments"))
+    return counts.orderBy(F.desc("assignments"), "path").limit(most)
+
+
 def level_pairs(view: DataFrame) -> DataFrame:
     """(root, parent, child) of neighbouring levels with unique records."""
     rows = view.select("record_id", F.explode("paths").alias("p")).select("record_id", F.explode(v.level_pairs(F.col("p"))).alias("s")).select("record_id", "s.*")

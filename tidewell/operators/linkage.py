@@ -154,6 +154,12 @@ def canonical_pairs(records: DataFrame, existing: Column, index: str = "record_s
     return both.select("record_i", "record_j", "method", "status", (F.col("oi") != F.col("oj")).alias("cross_corpus"), "canonical_id", "duplicate_id")
 
 
+def deduplicated(records: DataFrame, existing: Column, index: str = "record_sequence", name: str = "record_id") -> dict[str, DataFrame]:
+    """records, candidates, automatic_duplicates and review_candidates; no row is dropped."""
+    pairs = canonical_pairs(records, existing, index, name)
+    return {"records": records, "candidates": pairs, "automatic_duplicates": pairs.where("status = 'duplicate'"), "review_candidates": pairs.where("status = 'review'")}
+
+
 def with_keys(records: DataFrame, row: str) -> DataFrame:
     """row, id, year and the keys by which records are compared."""
     key = t.screening_title(F.col("title"))

@@ -103,11 +103,12 @@ QUERIES = {
     "topic_tree": _of(d.topic_tree), "topic_level_counts": _of(d.topic_level_counts), "species_topic_counts": _of(d.species_topic_counts),
     "terminal_topics": _of(d.terminal_topics), "finest_topics": _of(d.finest_topics), "topic_rollup": _of(d.topic_rollup), "topic_coverage": _of(d.topic_coverage),
     "valid_paths": _of(d.valid_paths, "topic_ontology"), "ontology_audit": _of(d.ontology_audit, "topic_ontology"), "level_pairs": _of(d.level_pairs),
+    "unmapped_paths": _of(d.unmapped_paths, "topic_ontology"),
     "search_records": search_records, "search_count": search_count, "normalised_species_cells": normalised_species_cells, "without_countries": without_countries,
     "topic_options": topic_options,
     "year_species": _of(lambda v: tr.by_year(v, "species", "species")), "year_topics": _of(tr.year_topics),
     "top_countries": _of(lambda v: tr.top_values(d.country_counts(v), "iso3", 20)),
-    "top_country_species": _of(lambda v: d.country_species_counts(v).join(tr.top_values(d.country_counts(v), "iso3", 5).select("iso3"), "iso3", "left_semi")),
+    "top_country_species": _of(lambda v: d.country_species_counts(v).join(tr.top_values(d.country_counts(v), "iso3", 20).select("iso3"), "iso3", "left_semi")),
     "hierarchy_bars": _of(tr.hierarchy_bars), "background_trend": _of(lambda v: tr.background_trend(v, START, BASE)), "emerging_topics": _of(lambda v: tr.emerging_topics(v, BASE, RECENT)),
     "dense_year_topics": _of(lambda v: tr.dense_years(tr.year_topics(v), "topic")), "country_classes": _of(lambda v: d.count_classes(d.country_counts(v))),
 }
@@ -131,6 +132,7 @@ ORACLES = {
     "np AS (SELECT record_id, path, cast(row_number() OVER (PARTITION BY record_id ORDER BY i) AS INTEGER) AS position FROM dp) SELECT np.* FROM np WHERE path IN (SELECT prefix FROM onto)",
     "ontology_audit": VIEW + "SELECT cast(len(p) AS INTEGER) AS depth, count(*) AS assignments, count(DISTINCT x) AS unique_paths, count(DISTINCT x) FILTER (prefix IS NULL) AS unmapped_paths, count(DISTINCT record_id) FILTER (prefix IS NULL) AS unmapped_records "
     "FROM (SELECT *, array_to_string(p, ' > ') AS x FROM pt) LEFT JOIN onto ON x = prefix GROUP BY 1",
+    "unmapped_paths": VIEW + f"SELECT x AS path, {_N}, count(*) AS assignments FROM (SELECT record_id, array_to_string(p, ' > ') AS x FROM pt) WHERE x NOT IN (SELECT prefix FROM onto) GROUP BY x ORDER BY assignments DESC, x LIMIT 20",
     "level_pairs": VIEW + f"SELECT root, parent, child, {_N} FROM (SELECT record_id, p[1] AS root, p[i - 1] AS parent, p[i] AS child FROM (SELECT record_id, p, unnest(range(2, least(len(p), 9) + 1)) AS i FROM pt)) GROUP BY ALL",
     "search_records": VIEW + f", {_FOUND} SELECT record_id, title, year, array_to_string(species, '; ') AS species FROM f ORDER BY trim(coalesce(title, '')) = '', lower(title) NULLS LAST, record_id LIMIT 3 OFFSET 3",
     "search_count": VIEW + f", {_FOUND} SELECT count(*) AS found, cast(greatest(1, ceil(count(*) / 25)) AS BIGINT) AS pages FROM f",
@@ -140,7 +142,7 @@ ORACLES = {
     "year_species": VIEW + f"SELECT year, species, {_N} FROM (SELECT record_id, year, unnest(species) AS species FROM v WHERE year IS NOT NULL) GROUP BY ALL",
     "year_topics": VIEW + f", {_YT} SELECT * FROM yt",
     "top_countries": VIEW + f", {_COUNTRIES} SELECT * FROM cc ORDER BY records DESC, iso3 LIMIT 20",
-    "top_country_species": VIEW + f", {_COUNTRIES}, {_CS} SELECT * FROM cs WHERE iso3 IN (SELECT iso3 FROM cc ORDER BY records DESC, iso3 LIMIT 5)",
+    "top_country_species": VIEW + f", {_COUNTRIES}, {_CS} SELECT * FROM cs WHERE iso3 IN (SELECT iso3 FROM cc ORDER BY records DESC, iso3 LIMIT 20)",
     "hierarchy_bars": VIEW + "SELECT *, cast(dense_rank() OVER (PARTITION BY level_1 ORDER BY parent_total DESC, level_2) AS INTEGER) AS parent_index FROM (SELECT *, cast(sum(assignments) OVER (PARTITION BY level_1, level_2) AS BIGINT) AS parent_total FROM "
     "(SELECT coalesce(p[1], 'General') AS level_1, coalesce(p[2], 'General') AS level_2, coalesce(p[3], 'General') AS level_3, count(*) AS assignments FROM pt GROUP BY ALL))",
     "background_trend": VIEW + f", {_YEARLY}, ft AS (SELECT regr_slope(ln(records), year) AS s, regr_intercept(ln(records), year) AS c FROM yr WHERE year >= {START} AND records > 0), x AS (SELECT year, records, exp(c + s * year) AS f FROM yr, ft) "

@@ -101,7 +101,7 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RECORD_LINES = f"""
-WITH a AS (SELECT *, list_filter(list_transform(regexp_split_to_array(coalesce(authors, ''), '[;|]'), lambda x: trim(x)), lambda x: x <> '') AS names,
+WITH a AS (SELECT *, list_filter(list_transform(regexp_split_to_array(coalesce(authors, ''), '[;|]|\\s+and\\s+'), lambda x: trim(x)), lambda x: x <> '') AS names,
        CASE WHEN regexp_matches(trim(coalesce(url_raw, '')), '^https?://') THEN trim(url_raw)
             WHEN regexp_matches(trim(coalesce(url_raw, '')), '^lens-') THEN 'https://lens.org/' || regexp_replace(trim(url_raw), '^lens-', '') ELSE '' END AS u
   FROM merge_master_update)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..session import cut
 
 #: RIS tags of the fields; several values of one tag are joined by " | ".
 TAGS = {
@@ -84,11 +85,31 @@ def read_loose_ris(spark: SparkSession, path: str) -> DataFrame:
         "block", last("TI", "T1").alias("title"), last("AB", "N2").alias("abstract"), last("PY", "Y1").alias("year"), last("DO").alias("doi"),
         some("AU", "A1").alias("authors"), some("KW").alias("keywords"), F.lit("manual_ris").alias("source"),
     )
-    return out.where("coalesce(title, '') <> '' or coalesce(abstract, '') <> ''")
-
-
-def to_ris(records: DataFrame) -> DataFrame:
-    """(value): one RIS record per row of type, record_id, title, abstract, authors (array), doi, year."""
+    ids = F.when(F.coalesce("doi", F.lit("")) != "", F.array(F.struct(F.lit("doi").alias("type"), F.col("doi").alias("value")))).otherwise(F.array().cast("array<struct<type:string,value:string>>"))
+    return out.withColumn("external_ids", ids).where("coalesce(title, '') <> '' or coalesce(abstract, '') <> ''")
+
+
+def manual_manifest(rows: DataFrame, name: str) -> DataFrame:
+    """One row about a file read by hand: its records, the status and what follows from it."""
+    some = F.col("records") > 0
+    counted = rows.agg(F.lit(name).alias("source_file"), F.count("*").alias("records"), F.count_if(F.size("external_ids") > 0).alias("with_doi"))
+    return counted.withColumns({"status": F.when(some, "records_found").otherwise("no_records"), "downstream_action": F.when(some, "run_update").otherwise("none")})
+
+
+def to_ris(records: DataFrame, order: str | None = None) -> DataFrame:
+    """(value): one RIS record per row of type, record_id, title, abstract, authors (array), doi, year.
+
+    With ``order``, a column whose values are unique, records without an id get their place in that
+    order as id: its values are counted by ranges, so no window holds all rows.
+    """
+    if order is not None:
+        ranged = records.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
+        ranged = cut(ranged)
+        sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+        offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        place = F.row_number().over(Window.partitionBy("_part").orderBy(order)) + F.col("_before")
+        records = ranged.join(offsets, "_part").withColumn("record_id", F.coalesce(F.nullif("record_id", F.lit("")), place.cast("string")))
     line = lambda tag, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"{tag}  - "), t.squish(c)))
     authors = F.array_join(F.transform(F.coalesce("authors", F.array().cast("array<string>")), lambda a: F.concat(F.lit("AU  - "), a)), "\n")
     return records.select(

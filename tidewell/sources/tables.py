@@ -20,10 +20,18 @@ def read_harvest(spark: SparkSession, path: str) -> DataFrame:
     schema = "lens_id string, title string, abstract string, created timestamp, date_published string, year_published int, publication_type string, doi string, external_ids string, authors string"
     raw = spark.read.json(path, schema=schema, multiLine=True)
     ids = F.from_json("external_ids", "array<struct<type:string,value:string>>")
+    texts = F.try_element_at(F.filter(F.from_json("external_ids", "array<string>"), lambda x: x.startswith("10.")), F.lit(1))  # ids given as plain texts
     from_ids = F.try_element_at(F.transform(F.filter(ids, lambda x: F.lower(x["type"]) == "doi"), lambda x: x["value"]), F.lit(1))
     people = F.from_json("authors", "array<struct<display_name:string,name:string,full_name:string>>")
     named = F.filter(F.transform(people, lambda a: F.coalesce(a["display_name"], a["name"], a["full_name"])), lambda x: x.isNotNull())
-    return raw.withColumns({"doi": F.coalesce("doi", from_ids), "authors": F.when(F.size(named) > 0, named).otherwise(F.from_json("authors", "array<string>"))}).drop("external_ids")
+    return raw.withColumns({"doi": F.coalesce("doi", from_ids, texts), "authors": F.when(F.size(named) > 0, named).otherwise(F.from_json("authors", "array<string>"))}).drop("external_ids")
+
+
+def reference_problems(table: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """(table, problem) of a reference table: absent columns, no rows."""
+    spark = table.sparkSession
+    absent = [(name, f"lacks {c}") for c in columns if c not in table.columns]
+    return spark.createDataFrame(absent + ([(name, "has no rows")] if table.isEmpty() else []), "table string, problem string")
 
 
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
