@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..session import spread
+from ..session import cut, written
 
 #: Least title similarity of a fuzzy match, of a probable one, and of an equal DOI.
 FUZZY, PROBABLE, SAME_DOI = 0.965, 0.985, 0.90
@@ -94,6 +94,127 @@ def with_similarity(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.where(short >= share * long).mapInArrow(_similar(least), ", ".join([*kept, "similarity double"]))
 
 
+#: Bits of the two words of a signature: per letter the counts from and below which "more than this many"
+#: has a bit, in the first word those that tell most titles of some 80 characters apart, in the second
+#: the others of ``WHOLE``. Any choice is exact, a bad one lets more pass.
+FIRST = {
+    "a": (3, 7), "b": (0, 1), "c": (1, 3), "d": (2, 4), "e": (5, 9), "f": (1, 4), "g": (0, 3), "h": (0, 3), "i": (3, 6), "k": (0, 1), "l": (2, 5), "m": (1, 3),
+    "n": (3, 7), "o": (3, 7), "p": (0, 3), "r": (3, 7), "s": (2, 6), "t": (3, 6), "u": (1, 4), "v": (0, 2), "w": (0, 1), "y": (0, 2), " ": (9, 12),
+}
+WHOLE = {
+    "a": (2, 9), "b": (0, 3), "c": (0, 5), "d": (1, 5), "e": (3, 12), "f": (0, 6), "g": (0, 4), "h": (0, 4), "i": (1, 9), "j": (0, 1), "k": (0, 2), "l": (1, 7), "m": (0, 5),
+    "n": (2, 10), "o": (2, 9), "p": (0, 4), "r": (2, 10), "s": (1, 9), "t": (1, 8), "u": (0, 5), "v": (0, 3), "w": (0, 2), "x": (0, 1), "y": (0, 3), "z": (0, 1), " ": (7, 14),
+}
+_BITS = [{(c, n) for c, (low, high) in counts.items() for n in range(low, high)} for counts in (FIRST, WHOLE)]
+WORDS = sorted(_BITS[0]), sorted(_BITS[1] - _BITS[0])
+#: Titles of one tile on either side.
+TILE = 32_768
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with signatures s1 and s2 of the title key: the count of each letter in unary, so that two
+    titles differ in at least as many letters as their words in bits."""
+    for batch in batches:
+        texts = [x.encode() for x in batch.column("title_key").to_pylist()]
+        codes = np.frombuffer(b"".join(texts), np.uint8) & 127
+        rows = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+        counts = np.bincount(rows * 128 + codes, minlength=len(texts) * 128).reshape(-1, 128)
+        words = []
+        for told in WORDS:
+            word = np.zeros(len(texts), np.uint64)
+            for bit, (letter, n) in enumerate(told):
+                word |= (counts[:, ord(letter)] > n).astype(np.uint64) << np.uint64(bit)
+            words.append(pa.array(word.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *words], names=[*batch.schema.names, "s1", "s2"])
+
+
+def with_signatures(keyed: DataFrame) -> DataFrame:
+    """Keyed records with the signatures s1 and s2 of their title keys."""
+    have = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields)
+    return keyed.mapInArrow(_signatures, f"{have}, s1 bigint, s2 bigint")
+
+
+def _differing(la, lb, least: float):
+    """Most letters in which titles of la and lb characters may differ: (m / la + m / lb + 1) / 3 must
+    reach (least - 0.4) / 0.6 for the m letters in common, and la + lb - 2 m are not. Numbers or columns."""
+    return la + lb - 2 * ((least - 0.4) / 0.2 - 1) * la * lb / (la + lb) + 1e-6
+
+
+def near(l: str, r: str, least: float) -> Column:  # noqa: E741
+    """Whether the signatures of two sides of a join leave open that their titles reach ``least``."""
+    bits = sum(F.bit_count(F.col(f"{l}.{s}").bitwiseXOR(F.col(f"{r}.{s}"))) for s in ("s1", "s2"))
+    return bits <= _differing(F.length(f"{l}.title_key"), F.length(f"{r}.title_key"), least)
+
+
+def _near_pairs(a: pa.Table, b: pa.Table, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs of titles that the signatures leave open, by length, a few rows at a time."""
+    share = max(0.0, 3 * (least - 0.4) / 0.6 - 2)
+    sides = []
+    for side in (a, b):
+        size = pa.compute.utf8_length(side.column("title_key")).to_numpy()
+        order = np.argsort(size, kind="stable")
+        sides.append((order, size[order], *(side.column(s).to_numpy().view(np.uint64)[order] for s in ("s1", "s2"))))
+    (ia, la, *wa), (ib, lb, *wb) = sides
+    for size in np.unique(la):
+        first, last = np.searchsorted(la, [size, size + 1])
+        low, high = np.searchsorted(lb, [np.floor(size * share - 1e-9), np.ceil(size / share + 1e-9) + 1 if share else lb.max() + 1])
+        if low == high:
+            continue
+        most = np.clip(_differing(float(size), lb[low:high].astype(float), least), 0, 200).astype(np.uint8)
+        step = max(1, 32_768 // (high - low))  # stays in the cache
+        for at in range(first, last, step):
+            bits = np.bitwise_count(wa[0][at : min(at + step, last), None] ^ wb[0][low:high])
+            i, j = np.divmod(np.flatnonzero(bits <= most), high - low)
+            kept = bits[i, j] + np.bitwise_count(wa[1][at + i] ^ wb[1][low + j]) <= most[j]
+            if kept.any():
+                yield ia[at + i[kept]], ib[low + j[kept]]
+
+
+def _tile(least: float):
+    """Similar titles of one tile: the pairs its signatures leave open, in batches as ``_similar`` takes them."""
+
+    def run(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+        year, titles = key[0].as_py(), [x.column("title_key").combine_chunks() for x in (a, b)]
+
+        def batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            x, y = (t.take(pa.array(np.concatenate(at))) for t, at in zip(titles, zip(*pairs)))
+            return pa.RecordBatch.from_arrays([pa.array([year] * len(x), pa.int32()), x, y, x, y], names=["year", "x", "y", "a", "b"])
+
+        def batches() -> Iterator[pa.RecordBatch]:
+            open_, size = [], 0
+            for pair in _near_pairs(a, b, least) if len(a) and len(b) else ():
+                open_.append(pair)
+                size += len(pair[0])
+                if size >= 10_000:
+                    yield batch(open_)
+                    open_, size = [], 0
+            if open_:
+                yield batch(open_)
+
+        return pa.Table.from_batches(_similar(least)(batches()), pa.schema([("year", pa.int32()), ("x", pa.string()), ("y", pa.string()), ("similarity", pa.float64())]))
+
+    return run
+
+
+def similar_in_year(new: DataFrame, master: DataFrame, least: float) -> DataFrame:
+    """year, x, y and similarity: the different titles of one year, x new and y of the master, that reach ``least``.
+
+    All pairs of a year are looked at, but as two words of bits each: a year is cut into tiles of at
+    most about ``TILE`` titles a side, so no year is one task, and only what the words leave open is compared.
+    """
+    cols = ("year", "title_key", "s1", "s2")
+    a, b = (x.where("year is not null and title_key != ''").select(*cols).distinct() for x in (new, master))
+    count = lambda df, name: df.groupBy("year").agg(F.ceil(F.count("*") / TILE).cast("int").alias(name))
+    tiles = F.broadcast(count(a, "rows").join(count(b, "columns"), "year"))  # one row a year
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        at, every = F.pmod(F.xxhash64("title_key"), F.col(own)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        named = [F.col(c).alias(c) for c in cols]  # columns of its own, as both sides may come from one table
+        return df.join(tiles, "year").select(*named, at.alias(f"{own}_at"), every.alias(f"{other}_at")).groupBy("year", "rows_at", "columns_at")
+
+    return placed(a, "rows", "columns").cogroup(placed(b, "columns", "rows")).applyInArrow(_tile(least), "year int, x string, y string, similarity double")
+
+
 #: The seven passes: name, status and the fields that have to agree.
 PASSES = (
     ("A_author_year_title_journal", "duplicate", ("authors", "year", "title", "journal")),
@@ -180,8 +301,10 @@ def link_new_records(new: DataFrame, master: DataFrame, row: str = "record_seque
     equal DOI with a blank title (5), equal DOI with another title (6); then the more alike, then
     the earlier master row. Records with an equal title are not matched fuzzily.
     """
-    n, m = with_keys(new, row), with_keys(master, row)
-    n_, m_ = n.alias("l"), m.alias("r")
+    sides = with_keys(new, row).withColumn("known", F.lit(False)).unionByName(with_keys(master, row).withColumn("known", F.lit(True)))
+    keyed, remove = written(with_signatures(sides))  # read by every block
+    n, m = keyed.where("not known"), keyed.where("known")
+    n_ = n.alias("l")
     pick = [F.col("l.row").alias("row"), F.col("r.row").alias("master_row"), F.col("r.id").alias("match_id")]
     # Of equal titles the earliest master row is the best match, so a title many rows share joins once.
     earliest = m.where("title_key != ''").groupBy("title_key").agg(F.min("row").alias("row"), F.min_by("id", "row").alias("id")).alias("r")
@@ -193,15 +316,20 @@ def link_new_records(new: DataFrame, master: DataFrame, row: str = "record_seque
         "similarity", F.lit("doi").alias("basis"),
     )
     open_ = n.where("title_key != ''").join(exact.select("row").distinct(), "row", "left_anti")
-    # Pairs are many times the rows: both sides use every core however few files or rows they have.
-    open_, titled_master = spread(open_, "row"), spread(m.where("title_key != ''"), "row")
+    titled_master = m.where("title_key != ''")
+    # A year has too many pairs to be joined: its titles are compared first, rows follow the similar ones.
+    same = similar_in_year(open_, titled_master, FUZZY).alias("p")
+    same = open_.alias("l").join(same, (F.col("l.year") == F.col("p.year")) & (F.col("l.title_key") == F.col("x"))).join(
+        titled_master.alias("r"), (F.col("r.year") == F.col("p.year")) & (F.col("r.title_key") == F.col("y"))
+    )
+    met = same.select(*pick, F.lit(0).alias("block"), "similarity")
     blocks = None
-    for order, (basis, key) in enumerate(BLOCKS):
-        filled = F.col(f"l.{key}").isNotNull() & (F.col(f"l.{key}").cast("string") != "")
-        part = open_.alias("l").where(filled).join(titled_master.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
+    for order, (_, key) in enumerate(BLOCKS[1:], 1):
+        filled = F.col(f"l.{key}") != ""
+        part = open_.alias("l").where(filled).join(titled_master.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & near("l", "r", FUZZY))
         part = part.select(*pick, F.lit(order).alias("block"), F.col("l.title_key").alias("a"), F.col("r.title_key").alias("b"))
         blocks = part if blocks is None else blocks.unionByName(part)
-    met = with_similarity(blocks, FUZZY).groupBy("row", "match_id").agg(F.min_by(F.struct("block", "master_row", "similarity"), F.struct("block", "master_row")).alias("s"))
+    met = met.unionByName(with_similarity(blocks, FUZZY)).groupBy("row", "match_id").agg(F.min_by(F.struct("block", "master_row", "similarity"), F.struct("block", "master_row")).alias("s"))
     probable = (F.col("s.similarity") >= PROBABLE) & (F.col("s.block") != 0)
     names = F.array(*[F.lit(b[0]) for b in BLOCKS])
     fuzzy = met.select("row", F.col("s.master_row").alias("master_row"), "match_id", F.when(probable, 3).otherwise(4).alias("priority"), F.col("s.similarity").alias("similarity"), F.get(names, F.col("s.block")).alias("basis"))
@@ -211,10 +339,12 @@ def link_new_records(new: DataFrame, master: DataFrame, row: str = "record_seque
         F.when(F.col("s.priority").isin(1, 2), "duplicate").when(F.col("s.priority") == 3, "probable_duplicate")
         .when(F.col("s.priority").isin(4, 5), "possible_duplicate").when(F.col("s.priority") == 6, "doi_conflict_review").otherwise("new")
     )
-    return n.select("row").join(best, "row", "left").select(
+    linked = cut(n.select("row").join(best, "row", "left").select(
         "row", status.alias("duplicate_status"), F.coalesce("s.basis", F.lit("")).alias("duplicate_basis"), F.col("s.match_id").alias("matched_id"),
         F.col("s.master_row").alias("matched_row"), F.round(-F.col("s.less"), 6).alias("similarity"),
-    )
+    ))
+    remove()
+    return linked
 
 
 def label_conflicts(records: DataFrame, label: str = "eligibility") -> DataFrame:
