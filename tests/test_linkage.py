@@ -5,6 +5,7 @@ import random
 import pyarrow as pa
 
 from tidewell.operators import linkage
+from tidewell.plans import links
 
 WORDS = "growth of wild farmed salmon trout char in cold water cages near the coast a study effects feed light gill parasite load smolt density 2019 xylem quiz jaw".split()
 
@@ -71,3 +72,18 @@ def test_records_of_one_year_are_not_all_compared(spark, monkeypatch):
     got = linkage.link_new_records(spark.createDataFrame(new, cols), spark.createDataFrame(rows[:300], cols)).where("matched_id is not null").collect()
     assert [(x.row, x.matched_id, x.duplicate_basis) for x in got] == [(600, "r0", "same year")]
     assert sum(compared) < 600  # all pairs of the year are 90,300
+
+
+def test_status_counts_of_one_year_compare_few_pairs(spark, tmp_path, monkeypatch):
+    compared, similarity = [], linkage.with_similarity
+    monkeypatch.setattr(linkage, "with_similarity", lambda pairs, least: compared.append(pairs.count()) or similarity(pairs, least))
+    r = random.Random(6)
+    texts = ["".join(r.choices("etaoinshrdlu cmfgpbvyw", k=r.randint(60, 95))) for _ in range(400)]
+    rows = [(n, f"r{n}", n % 2, text, f"10.1/{n}", f"author {n}", 2001) for n, text in enumerate([*texts, texts[0], texts[2] + "s"], 1)]
+    rows[-2], rows[-1] = ((*x[:2], 1, *x[3:]) for x in rows[-2:])
+    cols = "record_sequence int, record_id string, batch_id int, title string, doi string, authors string, year int"
+    masters = [(*x[:2], 0, *x[3:]) if x[0] in (1, 3) else x for x in rows]
+    spark.createDataFrame(masters, cols).write.parquet(f"{tmp_path}/relevance_screening.parquet")
+    got = {(x.duplicate_status, x.duplicate_basis): x.records for x in links.link_status_counts(spark, str(tmp_path)).collect()}
+    assert got == {("new", ""): 198, ("duplicate", "exact normalised title"): 1, ("possible_duplicate", "same year"): 1}
+    assert sum(compared) < 400  # all pairs of the year are about 40,000
