@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidewell.operators import linkage
 from tidewell.plans import links
@@ -87,3 +88,31 @@ def test_status_counts_of_one_year_compare_few_pairs(spark, tmp_path, monkeypatc
     got = {(x.duplicate_status, x.duplicate_basis): x.records for x in links.link_status_counts(spark, str(tmp_path)).collect()}
     assert got == {("new", ""): 198, ("duplicate", "exact normalised title"): 1, ("possible_duplicate", "same year"): 1}
     assert sum(compared) < 400  # all pairs of the year are about 40,000
+
+
+def test_status_counts_do_not_join_records_of_a_crowded_first_author(spark, tmp_path, monkeypatch):
+    near, crowded = linkage.near, "a n other"
+
+    def joined(l, r, least):  # noqa: E741
+        return F.when(F.col(f"{l}.author_key") == crowded, F.raise_error(F.lit("pair of a crowded key joined")).cast("boolean")).otherwise(near(l, r, least))
+
+    monkeypatch.setattr(linkage, "near", joined)
+    r = random.Random(7)
+    texts = ["".join(r.choices("etaoinshrdlucmfgpbvyw", k=r.randint(60, 95))) for _ in range(700)]
+    rows = [(n, f"r{n}", n % 2, text, "A. N. Other | B", 1000 + n) for n, text in enumerate(texts)]  # 122,500 pairs
+    assert all(x[0] != x[1] for x in (texts[0], texts[4]))
+    swapped = [x[1] + x[0] + x[2:] for x in texts]  # another prefix and other words
+    rows += [(700, "r700", 1, swapped[0], "A. N. Other", 1), (701, "r701", 1, texts[2], "A. N. Other", 1002)]
+    rows += [(702, "r702", 1, swapped[4], "A rarer one; C", 2), (703, "r703", 0, texts[4] + "s", "a rarer one", 3)]
+    cols = "record_sequence int, record_id string, batch_id int, title string, authors string, year int"
+    spark.createDataFrame(rows, cols).withColumn("doi", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/relevance_screening.parquet")
+    got = {(x.duplicate_status, x.duplicate_basis): x.records for x in links.link_status_counts(spark, str(tmp_path)).collect()}
+    assert got == {("new", ""): 350, ("duplicate", "exact normalised title"): 1, ("probable_duplicate", "same first author"): 2}
+
+
+def test_keys_in_tiles_and_keys_joined_link_alike(spark, sf_dir, monkeypatch):
+    linked = []
+    for many in (1, 10**15):
+        monkeypatch.setattr(linkage, "MANY", many)
+        linked.append(sorted(map(str, links.link_new_vs_master(spark, sf_dir).collect())))
+    assert linked[0] == linked[1] and sum("same" in x for x in linked[0]) > 0

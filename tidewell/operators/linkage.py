@@ -170,15 +170,15 @@ def _near_pairs(a: pa.Table, b: pa.Table, least: float) -> Iterator[tuple[np.nda
                 yield ia[at + i[kept]], ib[low + j[kept]]
 
 
-def _tile(least: float):
+def _tile(least: float, *keys: str):
     """Similar titles of one tile: the pairs its signatures leave open, in batches as ``_similar`` takes them."""
 
     def run(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
-        year, titles = key[0].as_py(), [x.column("title_key").combine_chunks() for x in (a, b)]
+        titles = [x.column("title_key").combine_chunks() for x in (a, b)]
 
         def batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
             x, y = (t.take(pa.array(np.concatenate(at))) for t, at in zip(titles, zip(*pairs)))
-            return pa.RecordBatch.from_arrays([pa.array([year] * len(x), pa.int32()), x, y, x, y], names=["year", "x", "y", "a", "b"])
+            return pa.RecordBatch.from_arrays([*(pa.array([k.as_py()] * len(x), k.type) for k in key[: len(keys)]), x, y, x, y], names=[*keys, "x", "y", "a", "b"])
 
         def batches() -> Iterator[pa.RecordBatch]:
             open_, size = [], 0
@@ -191,28 +191,35 @@ def _tile(least: float):
             if open_:
                 yield batch(open_)
 
-        return pa.Table.from_batches(_similar(least)(batches()), pa.schema([("year", pa.int32()), ("x", pa.string()), ("y", pa.string()), ("similarity", pa.float64())]))
+        named = [(n, k.type) for n, k in zip(keys, key)]
+        return pa.Table.from_batches(_similar(least)(batches()), pa.schema([*named, ("x", pa.string()), ("y", pa.string()), ("similarity", pa.float64())]))
 
     return run
 
 
-def similar_in_year(new: DataFrame, master: DataFrame, least: float) -> DataFrame:
-    """year, x, y and similarity: the different titles of one year, x new and y of the master, that reach ``least``.
+def similar_in_tiles(new: DataFrame, master: DataFrame, least: float, *keys: str) -> DataFrame:
+    """keys, x, y and similarity: the different titles that agree in keys, x new and y of the master, that reach ``least``.
 
-    All pairs of a year are looked at, but as two words of bits each: a year is cut into tiles of at
-    most about ``TILE`` titles a side, so no year is one task, and only what the words leave open is compared.
+    All pairs of a key are looked at, but as two words of bits each: a key is cut into tiles of at
+    most about ``TILE`` titles a side, so no key is one task, and only what the words leave open is compared.
     """
-    cols = ("year", "title_key", "s1", "s2")
-    a, b = (x.where("year is not null and title_key != ''").select(*cols).distinct() for x in (new, master))
-    count = lambda df, name: df.groupBy("year").agg(F.ceil(F.count("*") / TILE).cast("int").alias(name))
-    tiles = F.broadcast(count(a, "rows").join(count(b, "columns"), "year"))  # one row a year
+    cols = (*keys, "title_key", "s1", "s2")
+    a, b = (x.where(" and ".join([*(f"{k} is not null" for k in keys), "title_key != ''"])).select(*cols).distinct() for x in (new, master))
+    count = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count("*") / TILE).cast("int").alias(name))
+    tiles = F.broadcast(count(a, "rows").join(count(b, "columns"), [*keys]))  # one row a key
 
     def placed(df: DataFrame, own: str, other: str) -> DataFrame:
         at, every = F.pmod(F.xxhash64("title_key"), F.col(own)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         named = [F.col(c).alias(c) for c in cols]  # columns of its own, as both sides may come from one table
-        return df.join(tiles, "year").select(*named, at.alias(f"{own}_at"), every.alias(f"{other}_at")).groupBy("year", "rows_at", "columns_at")
+        return df.join(tiles, [*keys]).select(*named, at.alias(f"{own}_at"), every.alias(f"{other}_at")).groupBy(*keys, "rows_at", "columns_at")
+
+    schema = ", ".join([*(f"{k} {new.schema[k].dataType.simpleString()}" for k in keys), "x string, y string, similarity double"])
+    return placed(a, "rows", "columns").cogroup(placed(b, "columns", "rows")).applyInArrow(_tile(least, *keys), schema)
 
-    return placed(a, "rows", "columns").cogroup(placed(b, "columns", "rows")).applyInArrow(_tile(least), "year int, x string, y string, similarity double")
+
+def similar_in_year(new: DataFrame, master: DataFrame, least: float) -> DataFrame:
+    """``similar_in_tiles`` of the titles of one year."""
+    return similar_in_tiles(new, master, least, "year")
 
 
 #: The seven passes: name, status and the fields that have to agree.
@@ -292,6 +299,21 @@ def with_keys(records: DataFrame, row: str) -> DataFrame:
 
 #: Fuzzy blocks in their order: the first in which a pair meets names its basis.
 BLOCKS = (("same year", "year"), ("same first author", "author_key"), ("same title prefix", "prefix"), ("same title tokens", "tokens"))
+#: Pairs of records of one key from which they are not joined but compared in tiles.
+MANY = 100_000
+
+
+def _block_keys(side: DataFrame, *cols: str) -> DataFrame:
+    """cols with block, key and the key's hash h: a row for each block that a titled record is in."""
+    keys = F.array(*[F.struct(F.lit(n).alias("block"), F.col(k).cast("string").alias("key")) for n, (_, k) in enumerate(BLOCKS)])
+    return side.where("title_key != ''").select(*cols, F.inline(keys)).where("key != ''").withColumn("h", F.xxhash64("key"))
+
+
+def crowded_keys(keyed: DataFrame) -> DataFrame:
+    """block and hash h of the keys that ``MANY`` pairs of a new and a known record share."""
+    known = F.col("known").cast("int")
+    counted = _block_keys(keyed, "known").groupBy("block", "h").agg(F.sum(known).alias("m"), F.sum(1 - known).alias("n"))
+    return counted.where(F.col("m") * F.col("n") >= MANY).select("block", "h")
 
 
 def link_new_records(new: DataFrame, master: DataFrame, row: str = "record_sequence") -> DataFrame:
@@ -315,18 +337,23 @@ def link_new_records(new: DataFrame, master: DataFrame, row: str = "record_seque
         "row", "master_row", "match_id", F.when(F.col("blank"), 5).when(F.col("similarity") >= SAME_DOI, 2).otherwise(6).alias("priority"),
         "similarity", F.lit("doi").alias("basis"),
     )
-    open_ = n.where("title_key != ''").join(exact.select("row").distinct(), "row", "left_anti")
-    titled_master = m.where("title_key != ''")
-    # A year has too many pairs to be joined: its titles are compared first, rows follow the similar ones.
-    same = similar_in_year(open_, titled_master, FUZZY).alias("p")
-    same = open_.alias("l").join(same, (F.col("l.year") == F.col("p.year")) & (F.col("l.title_key") == F.col("x"))).join(
-        titled_master.alias("r"), (F.col("r.year") == F.col("p.year")) & (F.col("r.title_key") == F.col("y"))
-    )
-    met = same.select(*pick, F.lit(0).alias("block"), "similarity")
+    # A record with an equal title keeps that match, which comes first, so it needs not be left out of the
+    # blocks; only pairs of equal titles are.
+    titled_new, titled_master = n.where("title_key != ''"), m.where("title_key != ''")
+    # A year, or a name that many share, has too many pairs to be joined in one task: its titles are
+    # compared in tiles first, rows follow the similar ones. Keys of few pairs are joined.
+    crowded = F.broadcast(cut(crowded_keys(keyed)))
+    l, r = (_block_keys(x, "row", "id", "title_key", "s1", "s2").join(crowded, ["block", "h"]) for x in (titled_new, titled_master))  # noqa: E741
+    same = similar_in_tiles(l, r, FUZZY, "block", "key").where("x != y").alias("p")
+    for side, title in (("l", "x"), ("r", "y")):
+        of = (l if side == "l" else r).alias(side)
+        same = same.join(of, (F.col(f"{side}.block") == F.col("p.block")) & (F.col(f"{side}.key") == F.col("p.key")) & (F.col(f"{side}.title_key") == F.col(title)))
+    met = same.select(*pick, F.col("p.block").alias("block"), "similarity")
     blocks = None
-    for order, (_, key) in enumerate(BLOCKS[1:], 1):
-        filled = F.col(f"l.{key}") != ""
-        part = open_.alias("l").where(filled).join(titled_master.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & near("l", "r", FUZZY))
+    for order, (_, key) in enumerate(BLOCKS):
+        own = F.broadcast(crowded.where(F.col("block") == order).select("h"))
+        l, r = (x.where(F.col(key).cast("string") != "").join(own, F.xxhash64(F.col(key).cast("string")) == F.col("h"), "left_anti") for x in (titled_new, titled_master))  # noqa: E741
+        part = l.alias("l").join(r.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.title_key") != F.col("r.title_key")) & near("l", "r", FUZZY))
         part = part.select(*pick, F.lit(order).alias("block"), F.col("l.title_key").alias("a"), F.col("r.title_key").alias("b"))
         blocks = part if blocks is None else blocks.unionByName(part)
     met = met.unionByName(with_similarity(blocks, FUZZY)).groupBy("row", "match_id").agg(F.min_by(F.struct("block", "master_row", "similarity"), F.struct("block", "master_row")).alias("s"))
